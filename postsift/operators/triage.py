@@ -71,22 +71,22 @@ def to_leads(classified: DataFrame, as_of) -> DataFrame:
 
 
 def post_to_lead(posts: DataFrame, as_of) -> DataFrame:
-    columns = {
+    """Posts in the lead schema. Lead fields the posts already carry are kept."""
+    derived = {
         "post_id": F.col("id"),
         "body": F.col("selftext"),
         "post_url": tx.direct_url(),
         "message_url": tx.message_url(),
         "created_at": tx.created_at(),
         "scraped_at": F.lit(as_of).cast("timestamp"),
-        "status": F.lit("new"),
-        "sent": F.lit(False),
     }
-    kept = {"seq", "subreddit", "author", "title", "matched_triggers", "language_detected", "score",
-            "num_comments"}
-    # Every other field is filled by a later step and starts as a typed NULL.
-    return posts.select(*[
-        columns[f.name].alias(f.name) if f.name in columns
-        else F.col(f.name) if f.name in kept
-        else F.lit(None).cast(f.dataType).alias(f.name)
-        for f in schemas.LEADS
-    ])
+    defaults = {"status": F.lit("new"), "sent": F.lit(False)}
+
+    def value(field):
+        if field.name in derived:
+            return derived[field.name]
+        if field.name in posts.columns:
+            return F.col(field.name)
+        return defaults.get(field.name, F.lit(None)).cast(field.dataType)
+
+    return posts.select(*[value(field).alias(field.name) for field in schemas.LEADS])

@@ -49,11 +49,12 @@ def remaining(leads: DataFrame) -> DataFrame:
 
 
 def status_changes(leads: DataFrame, requests: DataFrame) -> DataFrame:
-    """Log rows for ``requests(post_id, status, at)``: one per lead with that post id."""
-    unknown = requests.where(~F.col("status").isin(STATUSES) | F.col("status").isNull())
-    wanted = requests.join(unknown.select("post_id").distinct(), "post_id", "left_anti")
-    matched = leads.select("seq", "post_id").join(wanted, "post_id")
-    return matched.select(
+    """Log rows for ``requests(post_id, status, at)``: one per lead with that post id.
+
+    Requests for a status that does not exist change nothing.
+    """
+    wanted = requests.where(F.col("status").isin(STATUSES))
+    return leads.select("seq", "post_id").join(wanted, "post_id").select(
         "seq", "post_id", F.lit("status").alias("field"), F.col("status").alias("value"), "at")
 
 

@@ -12,7 +12,7 @@ from postsift.session import configure, staged
 from postsift.sinks.daily_sheet import DailySheet, skipped_counts
 from postsift.sinks.lead_store import LeadStore
 from postsift.sources.leads import not_stored, stored_ids
-from postsift.sources.posts import newest_posts, normalise
+from postsift.sources.posts import in_communities, newest_posts, normalise
 
 Step = Callable[[DataFrame], DataFrame]
 
@@ -45,19 +45,20 @@ def monitored_names() -> list[str]:
 def run(posts: DataFrame, store: LeadStore, options: RunOptions, sheet: DailySheet | None = None) -> DataFrame:
     """Run once and return the summary row.
 
-    Two tables are written on the way, the classified posts without their texts and the enriched
-    leads: the keyword scan and the caller's steps each run exactly once, and every count and both
-    sinks read those tables.
+    Two tables are written on the way: the verdicts, with texts only for posts that passed, and
+    the enriched leads. The keyword scan and the caller's steps each run exactly once, and every
+    count and both sinks read those tables.
     """
     configure(posts.sparkSession)
     if options.limit is not None:
         names = monitored_names() if options.communities is None else options.communities
         posts = newest_posts(posts, names, options.limit)
     elif options.communities is not None:
-        from postsift.sources.posts import in_communities
         posts = in_communities(posts, options.communities)
 
-    classified = staged(classify(normalise(posts), options.dictionary, options.needles), "classified")
+    verdicts = classify(normalise(posts), options.dictionary, options.needles)
+    texts = {name: F.when(F.col("passed"), F.col(name)) for name in ("title", "selftext", "url")}
+    classified = staged(verdicts.withColumns(texts), "classified")
     leads = to_leads(classified, options.as_of)
     if options.dedupe_early:
         leads = not_stored(leads, stored_ids(store.stored()))
@@ -102,16 +103,16 @@ def lead_totals(leads: DataFrame, threshold) -> DataFrame:
 
 
 def summary(funnel_row: DataFrame, leads: DataFrame, saved: DataFrame, on_sheet: DataFrame, threshold) -> DataFrame:
-    """The figures of a run as one row. Each input is a one-row aggregate; they meet on a constant key."""
+    """The figures of a run as one row, merged from one-row aggregates."""
     parts = [
         funnel_row.withColumnRenamed("total", "posts_fetched"),
         lead_totals(leads, threshold),
         saved.select(*[F.col(o).alias(f"leads_{o}") for o in oc.OUTCOMES]),
         on_sheet.select(*[F.col(o).alias(f"sheet_{o}") for o in oc.OUTCOMES]),
     ]
-    merged = None
-    for part in parts:
-        keyed = part.withColumn("_one", F.spark_partition_id() * 0)
-        merged = keyed if merged is None else merged.join(keyed, "_one")
-    return merged.drop("_one").withColumn(
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part, allowMissingColumns=True)
+    merged = rows.agg(*[F.max(name).alias(name) for name in rows.columns])
+    return merged.withColumn(
         "comment_worthy_leads", F.col("high_signal_leads") - F.col("skipped_unworthy"))
