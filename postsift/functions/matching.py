@@ -28,7 +28,7 @@ EXPRESSION_TERMS = 16
 
 
 def matched_terms(text: Column, groups: Mapping[str, Sequence[str]], engine="auto") -> Column:
-    """A struct with one array of hit terms per group. NULL text gives a NULL struct or NULL arrays."""
+    """A struct with one array of hit terms per group; NULL text has no hits."""
     if engine == "auto":
         wide = sum(len(terms) for terms in groups.values()) > EXPRESSION_TERMS
         engine = "automaton" if wide and ahocorasick else "expressions"
@@ -79,11 +79,11 @@ def _automaton(groups):
             automaton.make_automaton()
 
         def find(text):
+            hits = {group: [] for group in groups}
             if text is None:
-                return dict.fromkeys(groups)
+                return hits
             found = {term for _, term in automaton.iter(text)} if places else ()
             spots = sorted({spot for term in found for spot in places[term]}.union(everywhere))
-            hits = {group: [] for group in groups}
             for group, position in spots:
                 hits[group].append(groups[group][position])
             return hits

@@ -90,6 +90,5 @@ def percent(part: Column, whole: Column) -> Column:
 
 def percent_text(part: Column, whole: Column) -> Column:
     """One decimal, halves to even, ``N/A`` when there is nothing to divide."""
-    return F.coalesce(
-        F.format_string("%.1f%%", F.bround(percent(part, whole), 1)), F.lit("N/A")
-    )
+    rate = percent(part, whole)
+    return F.when(rate.isNull(), "N/A").otherwise(F.format_string("%.1f%%", F.bround(rate, 1)))

@@ -13,6 +13,10 @@ def _struct(*columns) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in columns])
 
 
+def with_columns(schema: T.StructType, *columns) -> T.StructType:
+    return T.StructType(schema.fields + _struct(*columns).fields)
+
+
 POSTS = _struct(
     ("seq", LONG), ("id", TEXT), ("subreddit", TEXT), ("author", TEXT), ("title", TEXT),
     ("selftext", TEXT), ("url", TEXT), ("permalink", TEXT), ("created_utc", DOUBLE),

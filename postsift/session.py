@@ -39,12 +39,13 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     The folder comes from ``spark.checkpoint.dir``. Only a local session may go without it; a
     cluster session without it is refused, since a machine-local folder is lost with its machine.
     """
-    base = spark.conf.get(CHECKPOINT_SETTING, None)
+    context = spark.sparkContext
+    base = spark.conf.get(CHECKPOINT_SETTING, None) or context.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors can reach")
         base = tempfile.mkdtemp(prefix="postsift-")
-        spark.conf.set(CHECKPOINT_SETTING, base)
+        context.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

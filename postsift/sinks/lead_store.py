@@ -1,6 +1,6 @@
 """The lead table: append with de-duplication, the status log, compaction, CSV and action export."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from postsift import schemas
 from postsift.operators import outcomes as oc, work_queue
@@ -9,7 +9,7 @@ from postsift.session import staged
 from postsift.sources.leads import CSV_DIALECT, read_table, stored_ids
 
 RUN = "run_id"
-_STORED = T.StructType(schemas.LEADS.fields + [T.StructField(RUN, T.StringType())])
+_STORED = schemas.with_columns(schemas.LEADS, (RUN, schemas.TEXT))
 
 
 def write_run(df: DataFrame, path: str, run_id: str, *more_partitions: str) -> None:

@@ -39,14 +39,12 @@ def read_posts(spark: SparkSession, path: str, fmt="parquet", **options) -> Data
 
 
 def read_json_posts(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Posts from JSON lines, and the quarantine of records that could not be read."""
-    schema = schemas._struct(*[(f.name, f.dataType) for f in schemas.POSTS], (CORRUPT, schemas.TEXT))
-    rows = (
-        spark.read.schema(schema).option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT).json(path)
-    )
-    good = rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    return good, rows.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+    """Posts from JSON lines, and the quarantine: the lines that could not be read as posts."""
+    schema = schemas.with_columns(schemas.POSTS, (CORRUPT, schemas.TEXT))
+    record = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    rows = spark.read.text(path).where(F.trim("value") != "").select(record.alias("_r"))
+    good = rows.where(F.col(f"_r.{CORRUPT}").isNull()).select("_r.*").drop(CORRUPT)
+    return good, rows.select(f"_r.{CORRUPT}").where(F.col(CORRUPT).isNotNull())
 
 
 def sample_posts(spark: SparkSession, limit=100) -> DataFrame:

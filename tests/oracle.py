@@ -27,6 +27,9 @@ def _rows(columns, rows):
     return sorted((tuple(_plain(row[i]) for i in order) for row in rows), key=key)
 
 
+KINDS = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double", "BOOLEAN": "boolean"}
+
+
 def compare(df, sql, con):
     """None when equal, else a text that shows the first difference."""
     got = [tuple(row) for row in df.collect()]
@@ -35,6 +38,9 @@ def compare(df, sql, con):
     want = result.fetchall()
     if sorted(df.columns) != sorted(names):
         return f"columns {sorted(df.columns)} != {sorted(names)}"
+    kinds = {d[0]: KINDS.get(str(d[1]), str(d[1])) for d in result.description}
+    if kinds != dict(df.dtypes):
+        return f"types {sorted(dict(df.dtypes).items())} != {sorted(kinds.items())}"
     if len(got) != len(want):
         return f"{len(got)} rows != {len(want)} rows"
     for a, b in zip(_rows(df.columns, got), _rows(names, want)):
