@@ -157,11 +157,11 @@ def parse_score_answers(answers: DataFrame) -> DataFrame:
     return parsed.select(*answers.columns, "extracted", *fields, (~good).alias("needs_retry"))
 
 
-def _batch_values(batch_answers: DataFrame) -> DataFrame:
-    """``batch_answers(batch_no, raw)`` with the parsed items and whether the answer is usable.
+def parse_batch_answers(batch_answers: DataFrame) -> DataFrame:
+    """``batch_answers(batch_no, raw)`` as (batch_no, usable, items).
 
     Usable is an array of objects. An empty object or text has no items and is usable too: its
-    leads simply stay unscored.
+    leads simply stay unscored. Ids must be JSON text.
     """
     value = js.parse_json(js.extract_json(F.col("raw")))
     parsed = batch_answers.select("batch_no", value.alias("_value"))
@@ -169,25 +169,16 @@ def _batch_values(batch_answers: DataFrame) -> DataFrame:
     items = js.items(F.col("_value"))
     all_objects = F.coalesce(F.forall(items, js.is_object), F.lit(False))
     empty = (kind == "OBJECT<>") | ((kind == "STRING") & (F.try_variant_get("_value", "$", "string") == ""))
+    scored = F.transform(items, lambda item: F.struct(js.text_field(item, "id").alias("id"), *score_fields(item)))
     return parsed.select(
-        "batch_no", F.when(all_objects, items).alias("items"),
-        F.coalesce(all_objects | empty, F.lit(False)).alias("usable"),
+        "batch_no", F.coalesce(all_objects | empty, F.lit(False)).alias("usable"),
+        F.when(all_objects, scored).alias("items"),
     )
 
 
-def batch_scores(batch_answers: DataFrame) -> DataFrame:
-    """Scores per (batch_no, post_id). The last item of an id wins; ids must be JSON text."""
-    items = _batch_values(batch_answers).where("usable").select("batch_no", F.posexplode("items").alias("pos", "item"))
-    rows = items.select("batch_no", "pos", js.text_field(F.col("item"), "id").alias("post_id"), *score_fields(F.col("item")))
-    fields = F.struct("signal_score", "signal_type", "category")
-    last = rows.where(F.col("post_id").isNotNull()).groupBy("batch_no", "post_id").agg(
-        F.max_by(fields, "pos").alias("_s"))
-    return last.select("batch_no", "post_id", "_s.*")
-
-
 def retry_batches(batches: DataFrame, batch_answers: DataFrame) -> DataFrame:
     """``batches(batch_no, ...)`` whose answer is missing or unusable: their leads are asked singly."""
-    usable = _batch_values(batch_answers).where("usable").select("batch_no")
+    usable = parse_batch_answers(batch_answers).where("usable").select("batch_no")
     return batches.join(usable, "batch_no", "left_anti")
 
 
@@ -195,20 +186,20 @@ def apply_batch_scores(leads: DataFrame, batch_answers: DataFrame, single_answer
                        size=BATCH_SIZE) -> DataFrame:
     """Leads with scores from batch answers, and from single answers where a batch was unusable.
 
-    ``single_answers(seq, raw)``. Leads that a usable batch answer does not mention stay unscored.
-    Keys are (batch, post) and seq: a batch is small and seq unique, so neither can be hot.
+    ``single_answers(seq, raw)``. A lead takes the last item with its id in the answer of its own
+    batch; leads that a usable answer does not mention stay unscored. The join keys are the batch,
+    which has at most ``size`` leads, and the unique seq, so neither can be hot.
     """
-    base = with_batch(leads.drop("signal_score", "signal_type", "category"), size)
-    rows = base.join(batch_scores(batch_answers), ["batch_no", "post_id"], "left")
+    fields = ("signal_score", "signal_type", "category")
+    rows = with_batch(leads.drop(*fields), size).join(parse_batch_answers(batch_answers), "batch_no", "left")
+    own = F.filter("items", lambda item: item["id"] == F.col("post_id"))
+    rows = rows.withColumn("_score", F.try_element_at(own, F.lit(-1)))
     if single_answers is None:
-        return rows.select(leads.columns)
-    singles = parse_score_answers(single_answers).select(
-        "seq", F.struct("signal_score", "signal_type", "category").alias("_single"))
-    good = _batch_values(batch_answers).where("usable").select("batch_no", F.lit(True).alias("_good"))
-    joined = rows.join(good, "batch_no", "left").join(singles, "seq", "left")
-    alone = F.col("_good").isNull()
-    return joined.withColumns({
-        n: F.when(alone, F.col(f"_single.{n}")).otherwise(F.col(n)) for n in ("signal_score", "signal_type", "category")
+        return rows.withColumns({n: F.col(f"_score.{n}") for n in fields}).select(leads.columns)
+    singles = parse_score_answers(single_answers).select("seq", F.struct(*fields).alias("_single"))
+    usable = F.coalesce("usable", F.lit(False))
+    return rows.join(singles, "seq", "left").withColumns({
+        n: F.when(usable, F.col(f"_score.{n}")).otherwise(F.col(f"_single.{n}")) for n in fields
     }).select(leads.columns)
 
 

@@ -48,8 +48,16 @@ def test_batch_answers(spark):
     batches = answers.select("batch_no").union(spark.createDataFrame([(11,)], "batch_no long"))
     retry = {r.batch_no for r in en.retry_batches(batches, answers).collect()}
     assert retry == {n for n, (_, good) in BATCHES.items() if not good} | {11}
-    scores = {(r.batch_no, r.post_id): r.signal_score for r in en.batch_scores(answers).collect()}
-    assert scores == {(0, "a"): 2, (0, "b"): 5}
+    items = {r.batch_no: r["items"] for r in en.parse_batch_answers(answers).collect()}
+    assert [(i.id, i.signal_score) for i in items[0]] == [("a", 8), ("b", 5), ("a", 2)]
+    assert [(i.id, i.signal_score) for i in items[10]] == [(None, 8)]
+
+
+def test_last_item_of_an_id_wins(spark):
+    leads = make_leads(spark, [(1, "a", 1, None), (2, "b", 1, None), (3, "c", 1, None), (4, "a", 1, None)])
+    answers = spark.createDataFrame([(0, BATCHES[0][0])], "batch_no long, raw string")
+    got = {r.seq: r.signal_score for r in en.apply_batch_scores(leads, answers).collect()}
+    assert got == {1: 2, 2: 5, 3: None, 4: 2}
 
 
 def test_singles_fill_only_unusable_batches(spark):

@@ -691,7 +691,7 @@ def run_summary(spark, sf):
 
 
 def _stream(spark, sf) -> DataFrame:
-    docs = st.post_stream(spark, sf, tb.DOCUMENTS, pathGlobFilter="documents.parquet")
+    docs = st.post_stream(spark, sf, tb.SCHEMAS["documents"], pathGlobFilter="documents.parquet")
     return tb.posts(spark, sf, docs)
 
 
@@ -725,8 +725,7 @@ def stream_sinks(spark, sf):
   arg_max(event_type, (ts, event_type)) FILTER (event_type = 'signup') AS sent_date FROM events GROUP BY user_id""")
 def lifecycle_stream(spark, sf):
     """Latest values per changed row from a stream of changes: each event changes a field of its user."""
-    schema = tb.table(spark, sf, "events").schema
-    e = st.post_stream(spark, sf, schema, pathGlobFilter="events.parquet")
+    e = st.post_stream(spark, sf, tb.SCHEMAS["events"], pathGlobFilter="events.parquet")
     field = F.when(F.col("event_type") == "purchase", "sent").when(F.col("event_type") == "signup", "sent_date").otherwise("status")
     log = e.select(F.col("user_id").alias("seq"), F.lit(None).cast("string").alias("post_id"), field.alias("field"),
                    F.col("event_type").alias("value"), F.col("ts").cast("timestamp").alias("at"))

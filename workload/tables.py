@@ -59,16 +59,22 @@ def table_needles() -> dict:
 
 # --- Spark ------------------------------------------------------------------------------------
 
-DOCUMENTS = T.StructType([
-    T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
-    T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()),
-    T.StructField("n_chars", T.LongType()),
-])
+def _schema(**kinds):
+    return T.StructType([T.StructField(name, kind) for name, kind in kinds.items()])
+
+
+TEXT, LONG, INT = T.StringType(), T.LongType(), T.IntegerType()
+SCHEMAS = {
+    "documents": _schema(doc_id=LONG, text=TEXT, lang=TEXT, source=TEXT, n_chars=LONG),
+    "events": _schema(event_id=LONG, ts=T.TimestampNTZType(), user_id=LONG, event_type=TEXT,
+                      value=T.DoubleType(), props=TEXT),
+    "labels": _schema(doc_id=LONG, quality=INT, toxic=INT),
+    "pages": _schema(page_id=LONG, url=TEXT, html=TEXT),
+}
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    configure(spark)
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return configure(spark).read.schema(SCHEMAS[name]).parquet(f"{sf}/{name}.parquet")
 
 
 def events(spark, sf) -> DataFrame:
@@ -79,22 +85,30 @@ def events(spark, sf) -> DataFrame:
 
 
 def raw_posts(spark, sf, documents: DataFrame | None = None) -> DataFrame:
-    """Documents as posts; ``documents`` may be a stream. Exact copies share a post id."""
+    """Documents as posts; ``documents`` may be a stream. Exact copies share a post id.
+
+    Texts are cut and digested before the join, so a query that needs only ids never moves a text.
+    Partitioning by the join key costs nothing where the join shuffles anyway, and spreads a table
+    that lies in few files over all tasks.
+    """
     documents = table(spark, sf, "documents") if documents is None else documents
-    e = events(spark, sf).select("event_id", "ts", "user_id", "event_type", "value", "k")
-    joined = documents.join(e, F.col("doc_id") == F.col("event_id"), "left")
     id_ = F.substring(F.md5("text"), 1, 10)
     cut = F.locate("\n", F.col("text"))
-    return joined.select(
+    d = documents.select(
         F.col("doc_id").alias("seq"), id_.alias("id"), F.col("source").alias("subreddit"),
-        F.when(F.col("user_id") % 29 != 0, F.concat(F.lit("u"), F.col("user_id").cast("string"))).alias("author"),
         F.when(cut > 0, F.left("text", cut - 1)).otherwise(F.col("text")).alias("title"),
         F.when(cut > 0, F.substr("text", cut + 1)).alias("selftext"),
         F.concat(F.lit("https://example.org/"), F.col("doc_id").cast("string")).alias("url"),
         F.concat(F.lit("/r/"), "source", F.lit("/comments/"), id_, F.lit("/"), "lang", F.lit("/")).alias("permalink"),
+        "lang",
+    ).repartition("seq")
+    e = events(spark, sf).select(
+        F.col("event_id").alias("seq"), "event_type",
+        F.when(F.col("user_id") % 29 != 0, F.concat(F.lit("u"), F.col("user_id").cast("string"))).alias("author"),
         F.floor(F.unix_micros("ts") / 1000000).cast("double").alias("created_utc"),
-        F.floor("value").cast("int").alias("score"), F.col("k").alias("num_comments"), "lang", "event_type",
+        F.floor("value").cast("int").alias("score"), F.col("k").alias("num_comments"),
     )
+    return d.join(e, "seq", "left")
 
 
 def posts(spark, sf, documents=None) -> DataFrame:
