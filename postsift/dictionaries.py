@@ -244,6 +244,16 @@ def language_needles(languages=LANGUAGES, priority=PRIORITY_CODES) -> dict[str,
     return needles
 
 
+def needles_from_table(languages: DataFrame) -> dict[str, str]:
+    """``language_needles`` of a languages table; more than ``MAX_TERMS`` rows is an error."""
+    listed = languages.where(F.col("priority").isNotNull())
+    rows = listed.select("code", "name", "native_name", "priority").take(MAX_TERMS + 1)
+    if len(rows) > MAX_TERMS:
+        raise ValueError(f"more than {MAX_TERMS} languages")
+    ordered = [row.code for row in sorted(rows, key=lambda row: row.priority)]
+    return language_needles([(row.code, row.name, row.native_name) for row in rows], ordered)
+
+
 def term_table(names: DataFrame, patterns=PATTERNS) -> DataFrame:
     """Generated terms as a table from ``names(ord, name)``: each name fills every pattern.
 

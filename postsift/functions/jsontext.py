@@ -4,7 +4,7 @@ from string import Formatter
 
 from pyspark.sql import Column, functions as F
 
-from postsift.functions.text import strip
+from postsift.functions.text import bind, strip
 
 # How JSON is looked for in an answer, first a fenced block, then the widest span.
 FENCED = r"(?sU)```(?:json)?\s*([\[{].*?[\]}])\s*```"
@@ -20,14 +20,16 @@ def envelope_text(raw: Column) -> Column:
 
 def extract_json(raw: Column) -> Column:
     """The JSON part of an answer: as is, fenced, widest span, or else the stripped answer."""
-    text = strip(raw)
-    fenced, widest = F.regexp_extract(text, FENCED, 1), F.regexp_extract(text, WIDEST, 1)
-    return (
-        F.when(text.startswith("{") | text.startswith("["), text)
-        .when(fenced != "", fenced)
-        .when(widest != "", widest)
-        .otherwise(text)
-    )
+    def search(text):
+        blank = F.lit("")
+        return F.coalesce(
+            F.when(text.startswith("{") | text.startswith("["), text),
+            F.nullif(F.regexp_extract(text, FENCED, 1), blank),
+            F.nullif(F.regexp_extract(text, WIDEST, 1), blank),
+            text,
+        )
+
+    return bind(strip(raw), search)
 
 
 def parse_json(text: Column) -> Column:
@@ -38,8 +40,8 @@ def parse_json(text: Column) -> Column:
     """
     listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
     named = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
-    alone = F.try_variant_get(listed, "$[1]", "variant").isNull()
-    return F.when(listed.isNotNull() & alone, F.try_variant_get(named, "$.v", "variant"))
+    whole = bind(listed, lambda v: v.isNotNull() & F.try_variant_get(v, "$[1]", "variant").isNull())
+    return F.when(whole, F.try_variant_get(named, "$.v", "variant"))
 
 
 def is_object(value: Column) -> Column:

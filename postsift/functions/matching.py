@@ -19,6 +19,8 @@ from collections.abc import Iterator, Mapping, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from postsift.functions.text import bind
+
 try:
     import ahocorasick
 except ImportError:  # the expressions below need no extra package
@@ -48,7 +50,7 @@ def with_matches(df: DataFrame, text: Column, groups, name="hits", engine="auto"
 
 
 def _expressions(lowered: Column, groups) -> Column:
-    # ``lowered`` is bound as a lambda variable: written inline it would be computed per term.
+    # Written inline, the lowered text would be computed per term.
     def hits(bound):
         return F.struct(*[
             F.filter(F.array(*[F.lit(t) for t in terms]).cast("array<string>"),
@@ -56,7 +58,7 @@ def _expressions(lowered: Column, groups) -> Column:
             for group, terms in groups.items()
         ])
 
-    return F.element_at(F.transform(F.array(lowered), hits), 1)
+    return bind(lowered, hits)
 
 
 def _automaton(groups):

@@ -12,6 +12,11 @@ MINUTES_FORMAT = "yyyy-MM-dd HH:mm"
 _BLANK = r"[\s\x1c-\x1f]"
 
 
+def bind(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` mentions it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def full_text(title="title", body="selftext") -> Column:
     return F.concat(F.col(title), F.lit(" "), F.col(body))
 

@@ -120,16 +120,14 @@ def json_mode(json_answer: Column, model: Column, prefix: str) -> Column:
 def batch_requests(leads: DataFrame, size=BATCH_SIZE) -> DataFrame:
     """One request per batch of ``size`` leads, the posts as a JSON array in order."""
     post = F.struct(
-        "batch_pos",
-        F.struct(
-            F.col("post_id").alias("id"), "subreddit", "title",
-            tx.clip(F.col("body"), BATCH_BODY_CHARS).alias("body"),
-            F.array_join(F.slice("matched_triggers", 1, BATCH_TRIGGERS), ", ").alias("triggers"),
-        ).alias("post"),
+        F.col("post_id").alias("id"), "subreddit", "title",
+        tx.clip(F.col("body"), BATCH_BODY_CHARS).alias("body"),
+        F.array_join(F.slice("matched_triggers", 1, BATCH_TRIGGERS), ", ").alias("triggers"),
     )
-    # A batch is never larger than ``size``, so the list per group is bounded.
-    batches = with_batch(leads, size).groupBy("batch_no").agg(
-        F.count(F.lit(1)).alias("n_posts"), F.sort_array(F.collect_list(post)).alias("_posts"))
+    # Bodies are cut before the shuffle. A batch never exceeds ``size``, so its list is bounded.
+    batches = with_batch(leads.select("seq", post.alias("post")), size).groupBy("batch_no").agg(
+        F.count(F.lit(1)).alias("n_posts"),
+        F.sort_array(F.collect_list(F.struct("batch_pos", "post"))).alias("_posts"))
     return batches.select(
         "batch_no", "n_posts", F.to_json("_posts.post").alias("posts_json"),
         F.lit(BATCH_TOKENS).alias("max_tokens"), F.lit(JSON_TEMPERATURE).alias("temperature"),

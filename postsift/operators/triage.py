@@ -1,6 +1,6 @@
 """The keyword triage: a verdict for every post, the funnel over verdicts, and the leads."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from postsift import schemas
 from postsift.dictionaries import Dictionary, default_dictionary, language_needles
@@ -53,18 +53,26 @@ def classify(posts: DataFrame, dictionary: Dictionary | None = None, needles=Non
     )
 
 
-def funnel(classified: DataFrame) -> DataFrame:
-    """One row: total, one count per verdict, and the pass rate as number and as text."""
-    counts = classified.agg(
+def funnel_counts() -> list[Column]:
+    """Aggregates over classified posts: the total and one count per verdict."""
+    return [
         F.count(F.lit(1)).alias("total"),
         *[F.count_if(F.col("verdict") == v).alias(v) for v in VERDICTS],
-    )
+    ]
+
+
+def with_rate(counts: DataFrame) -> DataFrame:
     passed, total = F.col("passed"), F.col("total")
     return counts.withColumns({
         "pass_rate": tx.percent(passed, total), "pass_rate_text": tx.percent_text(passed, total),
     })
 
 
+def funnel(classified: DataFrame) -> DataFrame:
+    """One row: total, one count per verdict, and the pass rate as number and as text."""
+    return with_rate(classified.agg(*funnel_counts()))
+
+
 def to_leads(classified: DataFrame, as_of) -> DataFrame:
     """Leads made from the posts that passed, scraped at ``as_of``."""
     return post_to_lead(classified.where("passed"), as_of)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from postsift import schemas
 from postsift.functions import text as tx
+from postsift.operators.lookup import key_counts, lookup
 from postsift.operators.numbering import with_position
 
 STATUSES = ["new", "contacted", "replied", "converted", "ignored"]
@@ -51,24 +52,29 @@ def remaining(leads: DataFrame) -> DataFrame:
 def status_changes(leads: DataFrame, requests: DataFrame) -> DataFrame:
     """Log rows for ``requests(post_id, status, at)``: one per lead with that post id.
 
-    Requests for a status that does not exist change nothing.
+    Requests for a status that does not exist change nothing. Of several requests for a post only
+    the latest is kept, before the join: leads and requests of a post are never paired up.
     """
-    wanted = requests.where(F.col("status").isin(STATUSES))
-    return leads.select("seq", "post_id").join(wanted, "post_id").select(
-        "seq", "post_id", F.lit("status").alias("field"), F.col("status").alias("value"), "at")
+    latest = requests.where(F.col("status").isin(STATUSES)).groupBy("post_id").agg(
+        F.max_by(F.struct("status", "at"), F.struct("at", "status")).alias("_r"))
+    ids = leads.select("seq", "post_id")
+    facts = key_counts(ids, "post_id").join(latest, "post_id").select("post_id", "n_rows", "_r")
+    return lookup(ids, facts, "post_id", "seq").where(F.col("_r").isNotNull()).select(
+        "seq", "post_id", F.lit("status").alias("field"), F.col("_r.status").alias("value"), F.col("_r.at").alias("at"))
 
 
 def found(leads: DataFrame, requests: DataFrame) -> DataFrame:
-    """Each request with ``found``: whether any lead has its post id."""
-    ids = leads.select("post_id").distinct().withColumn("_there", F.lit(True))
-    return requests.join(ids, "post_id", "left").select(
-        *requests.columns, F.coalesce("_there", F.lit(False)).alias("found"))
+    """Each requested post id with ``found``: whether any lead has it."""
+    there = leads.select("post_id").distinct().withColumn("_there", F.lit(True))
+    return requests.select("post_id").distinct().join(there, "post_id", "left").select(
+        "post_id", F.coalesce("_there", F.lit(False)).alias("found"))
 
 
 def sent_changes(leads: DataFrame, requests: DataFrame) -> DataFrame:
     """Log rows marking the first lead of each requested post as sent; ``requests(post_id, at)``."""
     first = leads.groupBy("post_id").agg(F.min("seq").alias("seq"))
-    return _sent_rows(requests.join(first, "post_id"))
+    latest = requests.groupBy("post_id").agg(F.max("at").alias("at"))
+    return _sent_rows(latest.join(first, "post_id"))
 
 
 def sent_changes_by_text(leads: DataFrame, needle: str, at) -> DataFrame:

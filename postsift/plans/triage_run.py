@@ -3,11 +3,12 @@
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, Row, functions as F
 
+from postsift import schemas
 from postsift.dictionaries import COMMUNITIES, LANGUAGES, PRIORITY_CODES, Dictionary
 from postsift.operators import enrichment, outcomes as oc
-from postsift.operators.triage import classify, funnel, to_leads
+from postsift.operators.triage import classify, funnel_counts, to_leads, with_rate
 from postsift.session import configure, staged
 from postsift.sinks.daily_sheet import DailySheet, skipped_counts
 from postsift.sinks.lead_store import LeadStore
@@ -45,24 +46,24 @@ def monitored_names() -> list[str]:
 def run(posts: DataFrame, store: LeadStore, options: RunOptions, sheet: DailySheet | None = None) -> DataFrame:
     """Run once and return the summary row.
 
-    Two tables are written on the way: the verdicts, with texts only for posts that passed, and
-    the enriched leads. The keyword scan and the caller's steps each run exactly once, and every
-    count and both sinks read those tables.
+    Posts are read and scanned once. The funnel is counted while the posts that passed are written
+    as leads; rejects are counted and never stored. The caller's steps each run once, and both
+    sinks and all later counts read the written leads.
     """
-    configure(posts.sparkSession)
+    spark = configure(posts.sparkSession)
     if options.limit is not None:
         names = monitored_names() if options.communities is None else options.communities
         posts = newest_posts(posts, names, options.limit)
     elif options.communities is not None:
         posts = in_communities(posts, options.communities)
 
-    verdicts = classify(normalise(posts), options.dictionary, options.needles)
-    texts = {name: F.when(F.col("passed"), F.col(name)) for name in ("title", "selftext", "url")}
-    classified = staged(verdicts.withColumns(texts), "classified")
-    leads = to_leads(classified, options.as_of)
+    counted = Observation("funnel")
+    classified = classify(normalise(posts), options.dictionary, options.needles).observe(counted, *funnel_counts())
+    leads = staged(to_leads(classified, options.as_of), "leads")
+    funnel_row = with_rate(spark.createDataFrame([Row(**counted.get)], schemas.FUNNEL))
     if options.dedupe_early:
         leads = not_stored(leads, stored_ids(store.stored()))
-    leads = staged(enrich(leads, options), "leads")
+    leads = enrich(leads, options)
 
     gate = options.threshold if options.analyse and (options.score or options.gate_when_unscored) else None
     saved = store.append(leads, options.run_id, gate)
@@ -70,25 +71,23 @@ def run(posts: DataFrame, store: LeadStore, options: RunOptions, sheet: DailyShe
         on_sheet = sheet.append(leads, options.as_of, options.run_id, options.sheet_threshold)
     else:
         on_sheet = skipped_counts(leads)
-    return summary(funnel(classified), leads, saved, on_sheet, options.threshold if options.analyse else None)
+    return summary(funnel_row, leads, saved, on_sheet, options.threshold if options.analyse else None)
 
 
 def enrich(leads: DataFrame, options: RunOptions) -> DataFrame:
     """Score all leads; judge and draft the high-signal ones, the rest pass through unchanged."""
     if not options.analyse or options.score is None:
         return leads
-    scored = options.score(leads)
+    scored = staged(options.score(leads), "scored")
     if not (options.judge or options.draft):
         return scored
-    scored = staged(scored, "scored")
     high = oc.high_signal(scored, options.threshold)
     rest = scored.where(F.coalesce(F.col("signal_score") < options.threshold, F.lit(True)))
     if options.judge:
         high = staged(options.judge(high), "judged")
     if options.draft:
-        undrafted = high.where(F.coalesce(~F.col("comment_worthy"), F.lit(bool(options.judge))))
-        drafted = options.draft(high.where(F.coalesce("comment_worthy", F.lit(not options.judge))))
-        high = drafted.unionByName(undrafted)
+        worthy = F.coalesce("comment_worthy", F.lit(False)) if options.judge else F.lit(True)
+        high = staged(options.draft(high.where(worthy)).unionByName(high.where(~worthy)), "drafted")
     return high.unionByName(rest)
 
 

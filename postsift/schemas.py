@@ -48,6 +48,8 @@ STATUS_LOG = _struct(
     ("seq", LONG), ("post_id", TEXT), ("field", TEXT), ("value", TEXT), ("at", TIME)
 )
 
+FUNNEL = _struct(*[(n, LONG) for n in ("total", "passed", "no_trigger", "excluded", "deleted_author")])
+
 RUN_LOG = _struct(("run_id", TEXT), ("started_at", TIME), ("success", BOOL))
 
 # Column order of the lead export, the daily sheet, the action tab and the action export.

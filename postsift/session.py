@@ -12,6 +12,8 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # A key repeated in a JSON answer: the last one counts.
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"

@@ -6,7 +6,7 @@ from postsift import schemas
 from postsift.operators import outcomes as oc
 from postsift.operators.projections import action_rows, sheet_rows
 from postsift.session import staged
-from postsift.sinks.lead_store import RUN, write_run
+from postsift.sinks.lead_store import RUN, create_table, write_run
 from postsift.sources.leads import read_table, stored_ids
 
 DAY = "sheet_date"
@@ -30,6 +30,8 @@ class DailySheet:
     def __init__(self, spark: SparkSession, path: str, base="Leads", auto_date=True):
         self.spark, self.base, self.auto_date = spark, base, auto_date
         self.sheet_path, self.action_path = f"{path}/sheet", f"{path}/action"
+        create_table(spark, self.sheet_path, _table(schemas.SHEET_COLUMNS), DAY, RUN)
+        create_table(spark, self.action_path, _table(schemas.ACTION_COLUMNS), DAY, RUN)
 
     def read(self, as_of=None) -> DataFrame:
         return self._rows(self.sheet_path, schemas.SHEET_COLUMNS, as_of)

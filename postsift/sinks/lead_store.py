@@ -6,16 +6,24 @@ from postsift import schemas
 from postsift.operators import outcomes as oc, work_queue
 from postsift.operators.projections import action_export, export_rows
 from postsift.session import staged
-from postsift.sources.leads import CSV_DIALECT, read_table, stored_ids
+from postsift.sources.leads import CSV_DIALECT, read_table
 
 RUN = "run_id"
 _STORED = schemas.with_columns(schemas.LEADS, (RUN, schemas.TEXT))
 
 
+def create_table(spark: SparkSession, path: str, schema, *partitions: str) -> None:
+    """Make an empty table at ``path`` unless something is there already."""
+    spark.createDataFrame([], schema).write.mode("ignore").partitionBy(*partitions).parquet(path)
+
+
 def write_run(df: DataFrame, path: str, run_id: str, *more_partitions: str) -> None:
-    """Write ``df`` as the partition of ``run_id``; writing the same run again replaces it."""
+    """Write ``df`` as the partition of ``run_id``; writing the same run again replaces it.
+
+    The rebalance lets the runtime choose file sizes, so a small run leaves few files.
+    """
     (
-        df.withColumn(RUN, F.lit(run_id))
+        df.withColumn(RUN, F.lit(run_id)).hint("rebalance")
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*more_partitions, RUN).parquet(path)
     )
@@ -28,6 +36,8 @@ class LeadStore:
         self.spark = spark
         self.leads_path = f"{path}/leads"
         self.log_path = f"{path}/status_log"
+        create_table(spark, self.leads_path, _STORED, RUN)
+        create_table(spark, self.log_path, schemas.STATUS_LOG)
 
     def stored(self) -> DataFrame:
         return read_table(self.spark, self.leads_path, _STORED)
@@ -46,7 +56,7 @@ class LeadStore:
         computation. Ids saved by an earlier attempt of the same run do not count as stored, so a
         repeated run writes the same partition again.
         """
-        earlier = stored_ids(self.stored().where(F.col(RUN) != run_id))
+        earlier = self.stored().where(F.col(RUN) != run_id).select("post_id")
         outcome = staged(oc.store_outcomes(leads, earlier, min_score), "store-outcomes")
         write_run(oc.saved(outcome).select(schemas.LEADS.names), self.leads_path, run_id)
         return oc.outcome_counts(outcome)

@@ -4,10 +4,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
 from postsift import schemas
-from postsift.functions.text import full_text
+from postsift.functions.text import bind, full_text
+from postsift.operators.lookup import key_counts, lookup
 
 DELETED = "[deleted]"
 
+# Up to this many community names are compared as a set inside the scan; more are joined.
+MAX_NAMES = 10_000
+
 # A corrupt record keeps its raw text here and goes to quarantine.
 CORRUPT = "_corrupt_record"
 
@@ -84,14 +88,27 @@ def parse_communities(text: str | None, default: list[str]) -> list[str]:
 
 
 def in_communities(posts: DataFrame, communities) -> DataFrame:
-    """Posts of the named communities (a list, or a table with ``name``), ignoring case."""
+    """Posts of the named communities (a list, or a table with ``name``), ignoring case.
+
+    A short table of names becomes a set in the scan, so posts are not moved. A longer one is
+    joined, with the rows of any community that holds much of the input spread out.
+    """
     key = F.lower("subreddit")
     if isinstance(communities, DataFrame):
-        names = communities.select(F.lower("name").alias("_name")).distinct()
-        return posts.join(names, key == names["_name"], "left_semi")
+        names = communities.select(F.lower("name").alias("_key")).distinct()
+        listed = names.take(MAX_NAMES + 1)
+        if len(listed) > MAX_NAMES:
+            return _joined(posts, key, names)
+        communities = [row["_key"] for row in listed if row["_key"] is not None]
     return posts.where(key.isin([name.lower() for name in communities]))
 
 
+def _joined(posts: DataFrame, key, names: DataFrame) -> DataFrame:
+    keyed = posts.withColumn("_key", key)
+    facts = key_counts(keyed, "_key").join(names.withColumn("_wanted", F.lit(True)), "_key")
+    return lookup(keyed, facts, "_key", "seq").where("_wanted").select(posts.columns)
+
+
 def _ranked(posts: DataFrame, order, limit: int, per_community: bool) -> DataFrame:
     if not per_community:
         return posts.orderBy(*order).limit(limit)
@@ -125,13 +142,16 @@ def search_posts(posts, communities, query, as_of, limit=100, time_filter="week"
         found = found.where(F.col("created_utc") >= start)
     text = F.lower(full_text())
     tokens = query.lower().split()
-    for token in tokens:
-        found = found.where(F.contains(text, F.lit(token)))
+    if tokens:
+        words = F.array(*[F.lit(token) for token in tokens])
+        found = found.where(bind(text, lambda t: F.forall(words, lambda word: F.contains(t, word))))
     newest = [F.desc("created_utc"), F.asc("id"), F.asc("seq")]
     if sort == "relevance":
-        lost = [F.length(text) - F.length(F.replace(text, F.lit(t), F.lit(""))) for t in tokens]
-        hits = sum((gap / len(t) for gap, t in zip(lost, tokens)), F.lit(0.0))
-        order = [F.desc(hits)] + newest
+        def occurrences(t):
+            gaps = ((F.length(t) - F.length(F.replace(t, F.lit(w), F.lit("")))) / len(w) for w in tokens)
+            return sum(gaps, F.lit(0.0))
+
+        order = [F.desc(bind(text, occurrences))] + newest
     else:
         order = {
             "new": newest,

@@ -5,7 +5,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from postsift import schemas
 from postsift.functions import text as tx
-from postsift.operators.triage import VERDICTS
+from postsift.operators.triage import VERDICTS, funnel_counts
 from postsift.operators.work_queue import latest_values
 from postsift.session import shared_dir
 
@@ -45,10 +45,7 @@ def funnel_per_window(classified: DataFrame, window="1 hour", watermark="7 days"
     arrive.
     """
     timed = classified.withColumn("created_at", tx.created_at()).withWatermark("created_at", watermark)
-    return timed.groupBy(F.window("created_at", window)).agg(
-        F.count(F.lit(1)).alias("total"),
-        *[F.count_if(F.col("verdict") == v).alias(v) for v in VERDICTS],
-    ).select("window.start", "total", *VERDICTS)
+    return timed.groupBy(F.window("created_at", window)).agg(*funnel_counts()).select("window.start", "total", *VERDICTS)
 
 
 def start_sinks(leads: DataFrame, checkpoint: str, store=None, sheet=None, as_of=None, min_score=None,

@@ -21,6 +21,7 @@ ANSWERS = [
     ('a {"score":1}] b]', '{"score":1}] b]', None, None, None, True),
     ("{'score':9}", None, None, None, None, True),
     ('{"score":"7","category":null}', None, 7, "MEDIUM", None, False),
+    ('{"score":1,"score":2}', None, 2, "MEDIUM", "General Learning", False),
     ('{"score":"many"}', None, None, "MEDIUM", "General Learning", False),
 ]
 

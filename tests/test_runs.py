@@ -63,6 +63,11 @@ def test_full_run(spark, posts, tmp_path):
     assert sheet.read().count() == row.sheet_saved == sheet.read_actions().count()
 
 
+def test_empty_run(spark, posts, tmp_path):
+    row = run(posts[0].where("false"), LeadStore(spark, str(tmp_path)), options("r1")).first()
+    assert (row.posts_fetched, row.leads_found, row.leads_saved, row.pass_rate_text) == (0, 0, 0, "N/A")
+
+
 def test_limit_and_communities(spark, posts, tmp_path):
     store = LeadStore(spark, str(tmp_path))
     assert run(posts[0], store, options("r1", communities=["SRC1", "src2"], limit=7)).first().posts_fetched == 7

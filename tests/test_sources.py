@@ -49,6 +49,14 @@ def test_newest_counts_over_all_communities(spark, posts):
     assert sorted(r.seq for r in each.collect()) == [0, 1, 2, 3, 4, 5]
 
 
+def test_many_names_are_joined(spark, posts, monkeypatch):
+    monkeypatch.setattr(ps, "MAX_NAMES", 1)
+    names = spark.createDataFrame([("ALPHA",), ("beta",), ("Beta",), ("delta",)], "name string")
+    got = ps.in_communities(posts, names)
+    assert got.columns == posts.columns
+    assert sorted(r.seq for r in got.collect()) == [i for i in range(30) if i % 3 < 2]
+
+
 def test_rank_limit_is_applied_before_the_shuffle(posts):
     plan = ps.newest_posts(posts, ["alpha"], 2, per_community=True)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
@@ -83,6 +91,14 @@ def test_stored_ids(spark):
     assert sorted(r.post_id for r in ls.stored_ids(df).collect()) == ["b", "x1"]
 
 
+def test_not_stored(spark):
+    df = spark.createDataFrame([(i, "hot" if i % 2 else f"p{i}") for i in range(40)], "seq long, post_id string")
+    stored = spark.createDataFrame([("hot",), ("hot",), ("p4",), ("zz",)], "post_id string")
+    got = ls.not_stored(df, stored)
+    assert set(got.columns) == {"seq", "post_id"}
+    assert sorted(r.seq for r in got.collect()) == [i for i in range(0, 40, 2) if i != 4]
+
+
 def test_lead_filters(spark):
     df = spark.createDataFrame([(3, "new", "fr"), (1, "new", "fr"), (2, "new", None), (4, "sent", "fr")],
                                "seq long, status string, language_detected string")

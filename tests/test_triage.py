@@ -119,6 +119,10 @@ def test_generated_terms_are_pattern_major(spark):
     assert [r.term for r in rows] == dic.generated_terms() == dic.default_dictionary().texts("trigger")[:119]
 
 
+def test_needles_from_a_table(spark):
+    assert list(dic.needles_from_table(dic.languages_table(spark)).items()) == list(dic.language_needles().items())
+
+
 def test_monitored_communities(spark):
     rows = la.monitored_communities(dic.languages_table(spark), dic.communities_table(spark)).collect()
     names = [r.name for r in rows]

@@ -443,13 +443,13 @@ def status_updates(spark, sf):
     return wq.resolve(rows, wq.status_changes(rows, tb.status_requests(spark, sf))).select("seq", "post_id", "status")
 
 
-@check(f"""WITH {LEADS}, {_REQUESTS}, ask AS (SELECT event_id, props AS post_id FROM events UNION ALL SELECT seq, post_id FROM leads)
-SELECT event_id AS request, post_id, post_id IN (SELECT post_id FROM leads) AS found FROM ask""")
+@check(f"""WITH {LEADS}, asked AS (SELECT props AS post_id FROM events UNION SELECT post_id FROM leads)
+SELECT post_id, post_id IN (SELECT post_id FROM leads) AS found FROM asked""")
 def updates_found(spark, sf):
-    """Which requested ids exist: asked once per event with a text that is no id, once per lead with its id."""
+    """Which requested ids exist: asked for every lead's id, and for event texts that are no ids."""
     rows = tb.leads(spark, sf)
-    asked = tb.events(spark, sf).select(F.col("event_id").alias("request"), F.col("props").alias("post_id"))
-    return wq.found(rows, asked.union(rows.select("seq", "post_id"))).select("request", "post_id", "found")
+    asked = tb.events(spark, sf).select(F.col("props").alias("post_id"))
+    return wq.found(rows, asked.union(rows.select("post_id")))
 
 
 @check(f"""WITH {LEADS}, asked AS (SELECT p.id AS post_id, max(e.ts) AS at FROM posts p JOIN events e ON e.event_id = p.seq
