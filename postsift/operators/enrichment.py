@@ -180,6 +180,12 @@ def retry_batches(batches: DataFrame, batch_answers: DataFrame) -> DataFrame:
     return batches.join(usable, "batch_no", "left_anti")
 
 
+def retry_requests(leads: DataFrame, batch_answers: DataFrame, template=SCORE_TEMPLATE, size=BATCH_SIZE) -> DataFrame:
+    """Single requests for the leads of batches whose answer is missing or unusable."""
+    alone = retry_batches(with_batch(leads, size), batch_answers)
+    return score_requests(alone, template)
+
+
 def apply_batch_scores(leads: DataFrame, batch_answers: DataFrame, single_answers: DataFrame | None = None,
                        size=BATCH_SIZE) -> DataFrame:
     """Leads with scores from batch answers, and from single answers where a batch was unusable.

@@ -21,6 +21,8 @@ def lookup(rows: DataFrame, facts: DataFrame, key: str, spread_by: str, hot_rows
     keys have their answer then, so they enter the shuffle join under scattered hash values
     instead of filling one task. All other rows join by key as usual.
     """
+    # Stated here, the filter is the same for both uses of ``facts``, so they share one shuffle.
+    facts = facts.where(F.col(key).isNotNull())
     values = [name for name in facts.columns if name not in (key, "n_rows")]
     hot = (
         facts.where(F.col("n_rows") >= hot_rows).orderBy(F.desc("n_rows"), key).limit(max_hot)

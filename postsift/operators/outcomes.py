@@ -54,14 +54,15 @@ def _seen_before(leads: DataFrame, stored: DataFrame, passes: Column, hot_rows:
     """Mark leads whose post is stored, or was saved by an earlier lead of this batch.
 
     The earliest passing lead per post is a plain aggregate, so partial results are merged before
-    the shuffle and no post's leads are ever gathered in one place.
+    the shuffle and no post's leads are ever gathered in one place. Posts with a single, new lead
+    are left out of the lookup; where copies are rare, what remains is small enough to broadcast.
     """
     posts = leads.groupBy("post_id").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.min(F.when(passes, F.col("seq"))).alias("_first"),
     )
     known = stored.select("post_id").distinct().withColumn("_stored", F.lit(True))
-    facts = posts.join(known, "post_id", "left")
+    facts = posts.join(known, "post_id", "left").where((F.col("n_rows") > 1) | F.col("_stored").isNotNull())
     rows = lookup(leads, facts, "post_id", "seq", hot_rows)
     seen = F.coalesce("_stored", F.lit(False)) | F.coalesce(F.col("_first") < F.col("seq"), F.lit(False))
     return rows.withColumn("_seen", seen).drop("_first", "_stored"), passes

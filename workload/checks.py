@@ -619,6 +619,12 @@ def retry_batches(spark, sf):
     return en.retry_batches(answers.select("batch_no"), answers)
 
 
+@check(f"""{_BATCHED} SELECT 'score:' || seq AS request_id, subreddit || ': ' || title AS prompt FROM batched WHERE NOT ({_USABLE})""")
+def retry_requests(spark, sf):
+    rows = en.retry_requests(tb.leads(spark, sf), tb.batch_answers(spark, sf), "{subreddit}: {title}")
+    return rows.select("request_id", "prompt")
+
+
 _WORTHY = f"""WITH {LEADS}, judged AS (SELECT l.*, CASE seq % 8 WHEN 0 THEN true WHEN 1 THEN false WHEN 3 THEN true WHEN 4 THEN true
     WHEN 5 THEN true WHEN 7 THEN true END AS worthy,
   CASE seq % 8 WHEN 0 THEN 'asks for help' WHEN 1 THEN 'only venting' WHEN 2 THEN 'No reason provided' WHEN 3 THEN 'No reason provided'
