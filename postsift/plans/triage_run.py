@@ -12,7 +12,7 @@ from postsift.operators.triage import classify, funnel_counts, to_leads, with_ra
 from postsift.session import configure, staged
 from postsift.sinks.daily_sheet import DailySheet, skipped_counts
 from postsift.sinks.lead_store import LeadStore
-from postsift.sources.leads import not_stored, stored_ids
+from postsift.sources.leads import not_stored
 from postsift.sources.posts import in_communities, newest_posts, normalise
 
 Step = Callable[[DataFrame], DataFrame]
@@ -62,7 +62,7 @@ def run(posts: DataFrame, store: LeadStore, options: RunOptions, sheet: DailyShe
     leads = staged(to_leads(classified, options.as_of), "leads")
     funnel_row = with_rate(spark.createDataFrame([Row(**counted.get)], schemas.FUNNEL))
     if options.dedupe_early:
-        leads = not_stored(leads, stored_ids(store.stored()))
+        leads = not_stored(leads, store.known(leads))
     leads = enrich(leads, options)
 
     gate = options.threshold if options.analyse and (options.score or options.gate_when_unscored) else None

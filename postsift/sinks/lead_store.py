@@ -9,6 +9,9 @@ from postsift.session import staged
 from postsift.sources.leads import CSV_DIALECT, read_table
 
 RUN = "run_id"
+
+# A run with at most this many post ids looks them up in the store by broadcast.
+MAX_IDS = 500_000
 _STORED = schemas.with_columns(schemas.LEADS, (RUN, schemas.TEXT))
 
 
@@ -49,15 +52,29 @@ class LeadStore:
         """Stored leads in their current state."""
         return work_queue.resolve(self.stored().drop(RUN), self.log())
 
+    def known(self, leads: DataFrame, but_run=None) -> DataFrame:
+        """Post ids stored by other runs than ``but_run``.
+
+        For a run with few ids, which is counted first, the store is only scanned for those ids and
+        none of it is shuffled, however large it has grown. For a larger run all ids are returned.
+        """
+        rows = self.stored()
+        if but_run is not None:
+            rows = rows.where(F.col(RUN) != but_run)
+        ids = leads.select("post_id").distinct()
+        if ids.limit(MAX_IDS + 1).count() <= MAX_IDS:
+            rows = rows.join(F.broadcast(ids), "post_id", "left_semi")
+        return rows.select("post_id")
+
     def append(self, leads: DataFrame, run_id: str, min_score=None) -> DataFrame:
         """Save the new leads of a run and return one row of saved, skipped and filtered counts.
 
-        Outcomes are written to the shared folder first, so counts and saved rows come from one
-        computation. Ids saved by an earlier attempt of the same run do not count as stored, so a
-        repeated run writes the same partition again.
+        ``leads`` is read more than once: hand in a written or persisted table. Outcomes are written
+        to the shared folder first, so counts and saved rows come from one computation. Ids saved by
+        an earlier attempt of the same run do not count as stored, so a repeated run writes the same
+        partition again.
         """
-        earlier = self.stored().where(F.col(RUN) != run_id).select("post_id")
-        outcome = staged(oc.store_outcomes(leads, earlier, min_score), "store-outcomes")
+        outcome = staged(oc.store_outcomes(leads, self.known(leads, run_id), min_score), "store-outcomes")
         write_run(oc.saved(outcome).select(schemas.LEADS.names), self.leads_path, run_id)
         return oc.outcome_counts(outcome)
 

@@ -26,7 +26,9 @@ def counts(row):
 ROWS = [(1, "a", 9, "d"), (2, "a", 9, "d"), (3, "b", 5, "d"), (4, "c", 8, "")]
 
 
-def test_store_append(spark, tmp_path):
+@pytest.mark.parametrize("max_ids", [0, 500_000])
+def test_store_append(spark, tmp_path, monkeypatch, max_ids):
+    monkeypatch.setattr(store_module, "MAX_IDS", max_ids)
     store = LeadStore(spark, str(tmp_path))
     assert counts(store.append(leads_for(spark, ROWS), "r1", 8)) == (2, 1, 1)
     assert counts(store.append(leads_for(spark, ROWS), "r2", 8)) == (0, 3, 1)
