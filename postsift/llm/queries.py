@@ -2,7 +2,14 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postsift.llm import near_dup
+from postsift.llm import near_dup, packing, token_files
+
+
+def tokenizer(name: str) -> str:
+    """Where a public tokenizer file lies."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -13,5 +20,13 @@ def op6_simhash_near_dup(spark, sf_dir):
     return near_dup.near_dups(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op6_simhash_near_dup,)}
+def op9_best_fit_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
+def op10_token_files(spark, sf_dir):
+    return token_files.round_trip(spark, table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), end_id=2)
+
+
+QUERIES = {f.__name__: f for f in (op6_simhash_near_dup, op9_best_fit_packing, op10_token_files)}
 ORACLES: dict[str, str] = {}
