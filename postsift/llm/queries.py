@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postsift.llm import near_dup, packing, token_files
+from postsift.llm import chat, line_quality, near_dup, packing, token_files
 
 
 def tokenizer(name: str) -> str:
@@ -16,10 +16,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_line_quality(spark, sf_dir):
+    return line_quality.report(table(spark, sf_dir, "documents"))
+
+
 def op6_simhash_near_dup(spark, sf_dir):
     return near_dup.near_dups(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op8_chat_formatting(spark, sf_dir):
+    control = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)],
+                                "conv_id long, turn long, role string, text string")
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.digests(given.unionByName(own))
+
+
 def op9_best_fit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
@@ -28,5 +40,5 @@ def op10_token_files(spark, sf_dir):
     return token_files.round_trip(spark, table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), end_id=2)
 
 
-QUERIES = {f.__name__: f for f in (op6_simhash_near_dup, op9_best_fit_packing, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op5_line_quality, op6_simhash_near_dup, op8_chat_formatting, op9_best_fit_packing, op10_token_files)}
 ORACLES: dict[str, str] = {}
