@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postsift.llm import chat, decontaminate, line_quality, near_dup, packing, secret_scan, token_files
+from postsift.llm import chat, decontaminate, html_text, line_quality, near_dup, packing, secret_scan, token_files
 
 
 def tokenizer(name: str) -> str:
@@ -16,6 +16,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_html_text(spark, sf_dir):
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op4_decontamination(spark, sf_dir):
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -48,5 +52,5 @@ def op10_token_files(spark, sf_dir):
     return token_files.round_trip(spark, table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), end_id=2)
 
 
-QUERIES = {f.__name__: f for f in (op4_decontamination, op5_line_quality, op6_simhash_near_dup, op7_secret_scan, op8_chat_formatting, op9_best_fit_packing, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op3_html_text, op4_decontamination, op5_line_quality, op6_simhash_near_dup, op7_secret_scan, op8_chat_formatting, op9_best_fit_packing, op10_token_files)}
 ORACLES: dict[str, str] = {}
