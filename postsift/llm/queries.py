@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postsift.llm import chat, decontaminate, html_text, lang_id, line_quality, near_dup, packing, secret_scan, token_files
+from postsift.llm import chat, decontaminate, html_text, lang_id, line_quality, lm_score, near_dup, packing, secret_scan, token_files
 
 
 def tokenizer(name: str) -> str:
@@ -20,6 +20,10 @@ def op1_language_id(spark, sf_dir):
     return lang_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op2_lm_score(spark, sf_dir):
+    return lm_score.scores(table(spark, sf_dir, "documents"))
+
+
 def op3_html_text(spark, sf_dir):
     return html_text.extract(table(spark, sf_dir, "pages"))
 
@@ -56,5 +60,5 @@ def op10_token_files(spark, sf_dir):
     return token_files.round_trip(spark, table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), end_id=2)
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op3_html_text, op4_decontamination, op5_line_quality, op6_simhash_near_dup, op7_secret_scan, op8_chat_formatting, op9_best_fit_packing, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_lm_score, op3_html_text, op4_decontamination, op5_line_quality, op6_simhash_near_dup, op7_secret_scan, op8_chat_formatting, op9_best_fit_packing, op10_token_files)}
 ORACLES: dict[str, str] = {}

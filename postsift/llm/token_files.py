@@ -188,7 +188,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int, id_bytes: i
             writer.close()
             yield _manifest(part, number, writer)
 
-    ordered = (docs.select("doc_id", "text").repartitionByRange(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
+    ordered = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
                .sortWithinPartitions(F.col("doc_id").asc_nulls_first()))
     return staged(ordered.mapInArrow(save, MANIFEST), "manifest")
 
