@@ -62,6 +62,7 @@ def paths(messages: DataFrame, per_tree: int = 1) -> DataFrame:
         Window.partitionBy("tree").orderBy(F.desc("score"), "node"))).where(F.col("path_rank") <= per_tree)
     chosen = best.select("tree", F.col("node").alias("leaf"), "path_rank", "node")
     for jump in reversed(jumps):
+        chosen = staged(chosen, "chosen")
         up = chosen.join(jump.select("tree", "node", "up").where("up is not null"), ["tree", "node"])
         chosen = chosen.union(up.select("tree", "leaf", "path_rank", F.col("up").alias("node")))
     return chosen.join(depth.select("tree", "node", "depth"), ["tree", "node"])
