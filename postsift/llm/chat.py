@@ -46,15 +46,18 @@ def paths(messages: DataFrame, per_tree: int = 1) -> DataFrame:
     jumps = []
     while True:
         step = staged(step, "jumps")
-        if step.where("up is not null").isEmpty():
+        # Messages that have reached their root stand aside; only the others look further up.
+        on_the_way = step.where("up is not null")
+        if on_the_way.isEmpty():
             break
-        jumps.append(step)
+        jumps.append(on_the_way)
         above = step.select(
             "tree", F.col("node").alias("up"), F.col("up").alias("next"),
             F.col("score").alias("more"), F.col("steps").alias("further"))
-        step = step.join(above, ["tree", "up"], "left").select(
-            "tree", "node", F.col("next").alias("up"), (F.col("score") + F.coalesce("more", F.lit(0.0))).alias("score"),
-            (F.col("steps") + F.coalesce("further", F.lit(0))).alias("steps"))
+        further = on_the_way.join(above, ["tree", "up"]).select(
+            "tree", "node", F.col("next").alias("up"), (F.col("score") + F.col("more")).alias("score"),
+            (F.col("steps") + F.col("further")).alias("steps"))
+        step = further.union(step.where("up is null").select(further.columns))
     depth = step.select("tree", "node", (F.col("steps") - 1).alias("depth"), "score")
     parents = nodes.select("tree", F.col("parent").alias("node")).where("node is not null").distinct()
     leaves = depth.join(parents, ["tree", "node"], "left_anti")
@@ -63,7 +66,7 @@ def paths(messages: DataFrame, per_tree: int = 1) -> DataFrame:
     chosen = best.select("tree", F.col("node").alias("leaf"), "path_rank", "node")
     for jump in reversed(jumps):
         chosen = staged(chosen, "chosen")
-        up = chosen.join(jump.select("tree", "node", "up").where("up is not null"), ["tree", "node"])
+        up = chosen.join(jump.select("tree", "node", "up"), ["tree", "node"])
         chosen = chosen.union(up.select("tree", "leaf", "path_rank", F.col("up").alias("node")))
     return chosen.join(depth.select("tree", "node", "depth"), ["tree", "node"])
 
