@@ -162,9 +162,6 @@ SECTION_MEANING = {  # section: (category label, rubric signal)
     "free": (None, "free"),
 }
 
-# A dictionary travels inside every task, so its size is checked before use.
-MAX_TERMS = 200_000
-
 
 @dataclass(frozen=True)
 class Term:
@@ -207,10 +204,8 @@ class Dictionary:
 
     @staticmethod
     def from_table(df: DataFrame) -> "Dictionary":
-        """Read a dictionary table. More than ``MAX_TERMS`` rows is an error, never a cut."""
-        rows = df.select("kind", "ord", "term", "section", "category", "signal").take(MAX_TERMS + 1)
-        if len(rows) > MAX_TERMS:
-            raise ValueError(f"dictionary has more than {MAX_TERMS} terms")
+        """Read a dictionary table; it is a setting of the run, not data, and travels with every task."""
+        rows = df.select("kind", "ord", "term", "section", "category", "signal").collect()
         return Dictionary(tuple(sorted((Term(*row) for row in rows), key=lambda t: (t.kind, t.ord))))
 
 
@@ -245,11 +240,9 @@ def language_needles(languages=LANGUAGES, priority=PRIORITY_CODES) -> dict[str,
 
 
 def needles_from_table(languages: DataFrame) -> dict[str, str]:
-    """``language_needles`` of a languages table; more than ``MAX_TERMS`` rows is an error."""
+    """``language_needles`` of a languages table."""
     listed = languages.where(F.col("priority").isNotNull())
-    rows = listed.select("code", "name", "native_name", "priority").take(MAX_TERMS + 1)
-    if len(rows) > MAX_TERMS:
-        raise ValueError(f"more than {MAX_TERMS} languages")
+    rows = listed.select("code", "name", "native_name", "priority").collect()
     ordered = [row.code for row in sorted(rows, key=lambda row: row.priority)]
     return language_needles([(row.code, row.name, row.native_name) for row in rows], ordered)
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from postsift.dictionaries import CATEGORIES, Dictionary, default_dictionary
 from postsift.functions import jsontext as js, text as tx
 from postsift.functions.sampling import chosen
-from postsift.operators.lookup import HOT_ROWS, key_counts, lookup
+from postsift.operators.lookup import lookup
 from postsift.operators.numbering import with_batch
 
 # What a score answer means when a key is absent.
@@ -155,6 +155,12 @@ def parse_score_answers(answers: DataFrame) -> DataFrame:
     return parsed.select(*answers.columns, "extracted", *fields, (~good).alias("needs_retry"))
 
 
+def one_answer(answers: DataFrame, key: str) -> DataFrame:
+    """(key, raw): of several answers to one request the last to arrive, by ``arrived`` if there is such a column."""
+    order = ["arrived", "raw"] if "arrived" in answers.columns else ["raw"]
+    return answers.groupBy(key).agg(F.max_by("raw", F.struct(*order)).alias("raw"))
+
+
 def parse_batch_answers(batch_answers: DataFrame) -> DataFrame:
     """``batch_answers(batch_no, raw)`` as (batch_no, usable, items).
 
@@ -176,14 +182,14 @@ def parse_batch_answers(batch_answers: DataFrame) -> DataFrame:
 
 def retry_batches(batches: DataFrame, batch_answers: DataFrame) -> DataFrame:
     """``batches(batch_no, ...)`` whose answer is missing or unusable: their leads are asked singly."""
-    usable = parse_batch_answers(batch_answers).where("usable").select("batch_no")
+    usable = parse_batch_answers(one_answer(batch_answers, "batch_no")).where("usable").select("batch_no")
     return batches.join(usable, "batch_no", "left_anti")
 
 
 def retry_requests(leads: DataFrame, batch_answers: DataFrame, template=SCORE_TEMPLATE, size=BATCH_SIZE) -> DataFrame:
     """Single requests for the leads of batches whose answer is missing or unusable."""
-    alone = retry_batches(with_batch(leads, size), batch_answers)
-    return score_requests(alone, template)
+    alone = retry_batches(with_batch(leads.select("seq"), size), batch_answers)
+    return score_requests(leads.join(alone.select("seq"), "seq", "left_semi"), template)
 
 
 def apply_batch_scores(leads: DataFrame, batch_answers: DataFrame, single_answers: DataFrame | None = None,
@@ -192,31 +198,34 @@ def apply_batch_scores(leads: DataFrame, batch_answers: DataFrame, single_answer
 
     ``single_answers(seq, raw)``. A lead takes the last item with its id in the answer of its own
     batch; leads that a usable answer does not mention stay unscored. The join keys are the batch,
-    which has at most ``size`` leads, and the unique seq, so neither can be hot.
+    which has at most ``size`` leads, and the unique seq, so neither can be hot. Numbers and scores are
+    worked out on ids alone; the leads themselves are joined once. Of several answers to a batch or
+    a lead the last counts.
     """
     fields = ("signal_score", "signal_type", "category")
-    rows = with_batch(leads.drop(*fields), size).join(parse_batch_answers(batch_answers), "batch_no", "left")
+    parsed = parse_batch_answers(one_answer(batch_answers, "batch_no"))
+    rows = with_batch(leads.select("seq", "post_id"), size).join(parsed, "batch_no", "left")
     own = F.filter("items", lambda item: item["id"] == F.col("post_id"))
     rows = rows.withColumn("_score", F.try_element_at(own, F.lit(-1)))
     if single_answers is None:
-        return rows.withColumns({n: F.col(f"_score.{n}") for n in fields}).select(leads.columns)
-    singles = parse_score_answers(single_answers).select("seq", F.struct(*fields).alias("_single"))
+        scores = rows.select("seq", *[F.col(f"_score.{n}") for n in fields])
+        return leads.drop(*fields).join(scores, "seq", "left").select(leads.columns)
+    singles = parse_score_answers(one_answer(single_answers, "seq")).select("seq", F.struct(*fields).alias("_single"))
     usable = F.coalesce("usable", F.lit(False))
-    return rows.join(singles, "seq", "left").withColumns({
-        n: F.when(usable, F.col(f"_score.{n}")).otherwise(F.col(f"_single.{n}")) for n in fields
-    }).select(leads.columns)
+    scores = rows.join(singles, "seq", "left").select("seq", *[
+        F.when(usable, F.col(f"_score.{n}")).otherwise(F.col(f"_single.{n}")).alias(n) for n in fields])
+    return leads.drop(*fields).join(scores, "seq", "left").select(leads.columns)
 
 
-def apply_scores(leads: DataFrame, scores: DataFrame, hot_rows=HOT_ROWS) -> DataFrame:
+def apply_scores(leads: DataFrame, scores: DataFrame) -> DataFrame:
     """Leads with ``scores(post_id, pos, signal_score, signal_type, category)`` joined by id.
 
     The last score of an id wins; leads without one keep NULL.
     """
     last = scores.groupBy("post_id").agg(
         F.max_by(F.struct("signal_score", "signal_type", "category"), "pos").alias("_s"))
-    facts = key_counts(leads, "post_id").join(last, "post_id").select("post_id", "n_rows", "_s.*")
     bare = leads.drop("signal_score", "signal_type", "category")
-    return lookup(bare, facts, "post_id", "seq", hot_rows).select(leads.columns)
+    return lookup(bare, last.select("post_id", "_s.*"), "post_id").select(leads.columns)
 
 
 # --- worthiness and drafts --------------------------------------------------------------------
@@ -239,7 +248,7 @@ def apply_worthiness(leads: DataFrame, answers: DataFrame | None) -> DataFrame:
         return leads.withColumns({
             "comment_worthy": F.lit(True), "comment_worthy_reason": F.lit(REASON_OFF)})
     text = js.extract_json(F.col("raw"))
-    parsed = answers.select("seq", text.alias("_text")).withColumn("_value", js.parse_json(F.col("_text")))
+    parsed = one_answer(answers, "seq").select("seq", text.alias("_text")).withColumn("_value", js.parse_json(F.col("_text")))
     value = F.col("_value")
     flag = F.try_variant_get(value, "$.worthy", "variant")
     # A value that is not a JSON boolean counts by its truth; a false one gives NULL: no drafts,

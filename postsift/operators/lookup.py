@@ -2,41 +2,17 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-HOT_ROWS = 500_000  # a key with this many rows is hot
-MAX_HOT = 10_000    # at most this many hot keys are broadcast; the others join by shuffle
-SPREAD = 4_096      # a hot key's rows go to this many hash values
+from postsift.session import staged
 
 
-def key_counts(rows: DataFrame, key: str) -> DataFrame:
-    """Rows per key; the partial counts keep a hot key from travelling row by row."""
-    return rows.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
+def lookup(rows: DataFrame, facts: DataFrame, key: str) -> DataFrame:
+    """Left join ``rows`` to ``facts``, which has one row per ``key``.
 
-
-def lookup(rows: DataFrame, facts: DataFrame, key: str, spread_by: str, hot_rows=HOT_ROWS,
-           max_hot=MAX_HOT) -> DataFrame:
-    """Left join ``rows`` to ``facts`` on ``key``.
-
-    ``facts`` has one row per key and a column ``n_rows``: how many of ``rows`` carry the key.
-    Facts of the hottest keys are broadcast, never more than ``max_hot`` of them. Rows of those
-    keys have their answer then, so they enter the shuffle join under scattered hash values
-    instead of filling one task. All other rows join by key as usual.
+    The facts are narrow (the key and its values) and are written first, so the join reads a table
+    and not an aggregate on its own key: the runtime then knows their size, broadcasts them if
+    they are small, and otherwise splits the rows of a hot key over many tasks (adaptive skew
+    join). No count or size decides the plan here.
     """
-    # Stated here, the filter is the same for both uses of ``facts``, so they share one shuffle.
-    facts = facts.where(F.col(key).isNotNull())
-    values = [name for name in facts.columns if name not in (key, "n_rows")]
-    hot = (
-        facts.where(F.col("n_rows") >= hot_rows).orderBy(F.desc("n_rows"), key).limit(max_hot)
-        .select(key, F.struct(F.lit(True).alias("_known"), *values).alias("_hot"))
-    )
-    known = F.col("_hot").isNotNull()
-    scattered = F.pmod(F.xxhash64(spread_by), F.lit(SPREAD)) + 1
-    marked = rows.join(F.broadcast(hot), key, "left").withColumn(
-        "_salt", F.when(known, scattered).otherwise(F.lit(0)).cast("long"))
-    # Always 0, yet not a literal: a literal would be folded away as a join key.
-    plain = facts.withColumn("_salt", F.least("n_rows", F.lit(0)).cast("long")).select(
-        key, "_salt", *[F.col(name).alias(f"_cold_{name}") for name in values])
-    joined = marked.join(plain, [key, "_salt"], "left")
-    return joined.select(
-        *rows.columns,
-        *[F.when(known, F.col(f"_hot.{name}")).otherwise(F.col(f"_cold_{name}")).alias(name) for name in values],
-    )
+    facts = staged(facts.where(F.col(key).isNotNull()), "facts")
+    values = [name for name in facts.columns if name != key]
+    return rows.join(facts, key, "left").select(*rows.columns, *values)

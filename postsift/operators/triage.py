@@ -12,7 +12,7 @@ VERDICTS = ["passed", "no_trigger", "excluded", "deleted_author"]
 
 
 def classify(posts: DataFrame, dictionary: Dictionary | None = None, needles=None,
-             require_trigger=True, exclude_on_match=True, engine="auto") -> DataFrame:
+             require_trigger=True, exclude_on_match=True, engine="automaton") -> DataFrame:
     """Add verdict, passed, reason, matched_triggers, matched_excludes and language_detected.
 
     Rejects stay in the result. The text of each post is scanned once for triggers, excludes and
@@ -74,7 +74,7 @@ def funnel(classified: DataFrame) -> DataFrame:
 
 
 def to_leads(classified: DataFrame, as_of) -> DataFrame:
-    """Leads made from the posts that passed, scraped at ``as_of``."""
+    """Leads made from the posts that passed, scraped at ``as_of``; None is the time of the batch (of a stream)."""
     return post_to_lead(classified.where("passed"), as_of)
 
 
@@ -86,7 +86,7 @@ def post_to_lead(posts: DataFrame, as_of) -> DataFrame:
         "post_url": tx.direct_url(),
         "message_url": tx.message_url(),
         "created_at": tx.created_at(),
-        "scraped_at": F.lit(as_of).cast("timestamp"),
+        "scraped_at": F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp"),
     }
     defaults = {"status": F.lit("new"), "sent": F.lit(False)}
 

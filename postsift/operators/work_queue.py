@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from postsift import schemas
 from postsift.functions import text as tx
-from postsift.operators.lookup import key_counts, lookup
+from postsift.operators.lookup import lookup
 from postsift.operators.numbering import with_position
 
 STATUSES = ["new", "contacted", "replied", "converted", "ignored"]
@@ -58,8 +58,7 @@ def status_changes(leads: DataFrame, requests: DataFrame) -> DataFrame:
     latest = requests.where(F.col("status").isin(STATUSES)).groupBy("post_id").agg(
         F.max_by(F.struct("status", "at"), F.struct("at", "status")).alias("_r"))
     ids = leads.select("seq", "post_id")
-    facts = key_counts(ids, "post_id").join(latest, "post_id").select("post_id", "n_rows", "_r")
-    return lookup(ids, facts, "post_id", "seq").where(F.col("_r").isNotNull()).select(
+    return lookup(ids, latest, "post_id").where(F.col("_r").isNotNull()).select(
         "seq", "post_id", F.lit("status").alias("field"), F.col("_r.status").alias("value"), F.col("_r.at").alias("at"))
 
 

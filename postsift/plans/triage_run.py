@@ -13,16 +13,18 @@ from postsift.session import configure, staged
 from postsift.sinks.daily_sheet import DailySheet, skipped_counts
 from postsift.sinks.lead_store import LeadStore
 from postsift.sources.leads import not_stored
-from postsift.sources.posts import in_communities, newest_posts, normalise
+from postsift.sources.posts import in_communities, newest, normalise
 
 Step = Callable[[DataFrame], DataFrame]
 
+EVERY = "*"  # in place of communities: every post of the input
+
 
 @dataclass
 class RunOptions:
     as_of: str
     run_id: str
-    communities: list[str] | DataFrame | None = None  # None: every post of the input
+    communities: list[str] | DataFrame | str | None = None  # None: the monitored ones; EVERY: all posts
     limit: int | None = None                          # None: every post of the communities
     dictionary: Dictionary | None = None
     needles: dict | None = None
@@ -51,18 +53,20 @@ def run(posts: DataFrame, store: LeadStore, options: RunOptions, sheet: DailyShe
     sinks and all later counts read the written leads.
     """
     spark = configure(posts.sparkSession)
+    names = monitored_names() if options.communities is None else options.communities
+    if not isinstance(names, str):
+        posts = in_communities(posts, names)
+    elif names != EVERY:
+        raise ValueError(f"communities must be names, a table, or {EVERY!r}")
     if options.limit is not None:
-        names = monitored_names() if options.communities is None else options.communities
-        posts = newest_posts(posts, names, options.limit)
-    elif options.communities is not None:
-        posts = in_communities(posts, options.communities)
+        posts = newest(posts, options.limit)
 
     counted = Observation("funnel")
     classified = classify(normalise(posts), options.dictionary, options.needles).observe(counted, *funnel_counts())
     leads = staged(to_leads(classified, options.as_of), "leads")
     funnel_row = with_rate(spark.createDataFrame([Row(**counted.get)], schemas.FUNNEL))
     if options.dedupe_early:
-        leads = not_stored(leads, store.known(leads))
+        leads = not_stored(leads, store.known(leads, options.run_id))
     leads = enrich(leads, options)
 
     gate = options.threshold if options.analyse and (options.score or options.gate_when_unscored) else None
@@ -78,7 +82,10 @@ def enrich(leads: DataFrame, options: RunOptions) -> DataFrame:
     """Score all leads; judge and draft the high-signal ones, the rest pass through unchanged."""
     if not options.analyse or options.score is None:
         return leads
-    scored = staged(options.score(leads), "scored")
+    if options.score is enrichment.rubric:  # the rubric reads the terms of the run's own dictionary
+        scored = enrichment.rubric(leads, options.dictionary)
+    else:
+        scored = staged(options.score(leads), "scored")
     if not (options.judge or options.draft):
         return scored
     high = oc.high_signal(scored, options.threshold)

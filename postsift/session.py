@@ -11,6 +11,8 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot key's rows also where a later step could have used their partitioning.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Where every partition of one side turns out this small, hash it instead of sorting both sides.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
@@ -41,12 +43,13 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for ``name`` below the cluster's shared checkpoint folder.
 
     The folder comes from ``spark.checkpoint.dir``. Only a local session may go without it; a
-    cluster session without it is refused, since a machine-local folder is lost with its machine.
+    cluster session (``local-cluster`` too) without it is refused, since a machine-local folder is lost
+    with its machine. Name a folder that all executors reach.
     """
     context = spark.sparkContext
     base = spark.conf.get(CHECKPOINT_SETTING, None) or context.getCheckpointDir()
     if not base:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors can reach")
         base = tempfile.mkdtemp(prefix="postsift-")
         context.setCheckpointDir(base)

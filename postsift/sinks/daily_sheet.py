@@ -5,8 +5,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from postsift import schemas
 from postsift.operators import outcomes as oc
 from postsift.operators.projections import action_rows, sheet_rows
-from postsift.session import staged
-from postsift.sinks.lead_store import RUN, create_table, write_run
+from postsift.sinks.lead_store import RUN, count_row, counted, create_table, write_run
 from postsift.sources.leads import read_table, stored_ids
 
 DAY = "sheet_date"
@@ -52,13 +51,19 @@ class DailySheet:
         """
         name = sheet_name(self.base, as_of, self.auto_date)
         today = stored_ids(self.read(as_of).where(F.col(RUN) != run_id), "Post URL")
-        outcome = staged(oc.sheet_outcomes(leads, today, min_score, gated), "sheet-outcomes")
-        kept = oc.saved(outcome)
-        write_run(sheet_rows(kept, as_of).withColumn(DAY, F.lit(name)), self.sheet_path, run_id, DAY)
+        kept, seen = counted(oc.sheet_outcomes(leads, today, min_score, gated))
+        self._clear(run_id, name)
+        write_run(sheet_rows(kept, as_of), self.sheet_path, run_id, **{DAY: name})
         if gated:
-            worthy = action_rows(kept.where("comment_worthy"))
-            write_run(worthy.withColumn(DAY, F.lit(name)), self.action_path, run_id, DAY)
-        return oc.outcome_counts(outcome)
+            write_run(action_rows(kept.where("comment_worthy")), self.action_path, run_id, **{DAY: name})
+        return count_row(self.spark, seen)
+
+    def _clear(self, run_id: str, name: str) -> None:
+        """Take back what an earlier attempt of this run wrote to another day's sheet."""
+        for path, columns in ((self.sheet_path, schemas.SHEET_COLUMNS), (self.action_path, schemas.ACTION_COLUMNS)):
+            rows = read_table(self.spark, path, _table(columns)).where(F.col(RUN) == run_id)
+            for day in rows.where(F.col(DAY) != name).select(DAY).distinct().collect():
+                write_run(rows.limit(0).drop(DAY, RUN), path, run_id, **{DAY: day[0]})
 
     def list_sheets(self) -> DataFrame:
         """Names and places of the sheets written so far; reads partition names only."""

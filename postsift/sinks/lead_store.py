@@ -1,17 +1,16 @@
 """The lead table: append with de-duplication, the status log, compaction, CSV and action export."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from urllib.parse import quote
+
+from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
 
 from postsift import schemas
 from postsift.operators import outcomes as oc, work_queue
 from postsift.operators.projections import action_export, export_rows
-from postsift.session import staged
 from postsift.sources.leads import CSV_DIALECT, read_table
 
 RUN = "run_id"
 
-# A run with at most this many post ids looks them up in the store by broadcast.
-MAX_IDS = 500_000
 _STORED = schemas.with_columns(schemas.LEADS, (RUN, schemas.TEXT))
 
 
@@ -20,16 +19,26 @@ def create_table(spark: SparkSession, path: str, schema, *partitions: str) -> No
     spark.createDataFrame([], schema).write.mode("ignore").partitionBy(*partitions).parquet(path)
 
 
-def write_run(df: DataFrame, path: str, run_id: str, *more_partitions: str) -> None:
-    """Write ``df`` as the partition of ``run_id``; writing the same run again replaces it.
+def write_run(df: DataFrame, path: str, run_id: str, **above: str) -> None:
+    """Write ``df`` as the partition of ``run_id`` (below the partitions ``above``).
 
-    The rebalance lets the runtime choose file sizes, so a small run leaves few files.
+    The partition's folder itself is overwritten, so writing the same run again replaces it, also
+    when fewer rows or none are left. The rebalance lets the runtime choose file sizes, so a small
+    run leaves few files.
     """
-    (
-        df.withColumn(RUN, F.lit(run_id)).hint("rebalance")
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*more_partitions, RUN).parquet(path)
-    )
+    folder = "/".join(f"{name}={quote(value, safe='')}" for name, value in {**above, RUN: run_id}.items())
+    df.hint("rebalance").write.mode("overwrite").parquet(f"{path}/{folder}")
+
+
+def counted(outcome: DataFrame) -> tuple[DataFrame, Observation]:
+    """The saved rows of ``outcome``, and the outcome counts taken while they are written."""
+    seen = Observation()
+    return oc.saved(outcome.observe(seen, *oc.count_columns())), seen
+
+
+def count_row(spark: SparkSession, seen: Observation) -> DataFrame:
+    return spark.createDataFrame([Row(**{name: seen.get[name] for name in oc.OUTCOMES})],
+                                 ", ".join(f"{name} long" for name in oc.OUTCOMES))
 
 
 class LeadStore:
@@ -55,28 +64,24 @@ class LeadStore:
     def known(self, leads: DataFrame, but_run=None) -> DataFrame:
         """Post ids stored by other runs than ``but_run``.
 
-        For a run with few ids, which is counted first, the store is only scanned for those ids and
-        none of it is shuffled, however large it has grown. For a larger run all ids are returned.
+        The store's id column is semi-joined with the run's ids: the runtime broadcasts these while
+        they are few, and so scans the store without shuffling it.
         """
         rows = self.stored()
         if but_run is not None:
             rows = rows.where(F.col(RUN) != but_run)
-        ids = leads.select("post_id").distinct()
-        if ids.limit(MAX_IDS + 1).count() <= MAX_IDS:
-            rows = rows.join(F.broadcast(ids), "post_id", "left_semi")
-        return rows.select("post_id")
+        return rows.select("post_id").join(leads.select("post_id"), "post_id", "left_semi")
 
     def append(self, leads: DataFrame, run_id: str, min_score=None) -> DataFrame:
         """Save the new leads of a run and return one row of saved, skipped and filtered counts.
 
-        ``leads`` is read more than once: hand in a written or persisted table. Outcomes are written
-        to the shared folder first, so counts and saved rows come from one computation. Ids saved by
-        an earlier attempt of the same run do not count as stored, so a repeated run writes the same
-        partition again.
+        ``leads`` is read more than once: hand in a written table. Outcomes are counted while the
+        saved rows are written. Ids saved by an earlier attempt of the same run do not count as
+        stored, so a repeated run writes the same partition again.
         """
-        outcome = staged(oc.store_outcomes(leads, self.known(leads, run_id), min_score), "store-outcomes")
-        write_run(oc.saved(outcome).select(schemas.LEADS.names), self.leads_path, run_id)
-        return oc.outcome_counts(outcome)
+        kept, seen = counted(oc.store_outcomes(leads, self.known(leads, run_id), min_score))
+        write_run(kept.select(schemas.LEADS.names), self.leads_path, run_id)
+        return count_row(self.spark, seen)
 
     def record(self, changes: DataFrame) -> None:
         """Append changes to the status log."""

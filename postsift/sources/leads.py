@@ -5,7 +5,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from postsift import schemas
 from postsift.functions.text import post_id_from_url
-from postsift.operators.lookup import key_counts, lookup
 
 # Quotes are doubled, line breaks may stand inside quotes.
 CSV_DIALECT = {
@@ -45,8 +44,8 @@ def stored_ids(leads: DataFrame, url="post_url") -> DataFrame:
 
 
 def not_stored(leads: DataFrame, ids: DataFrame) -> DataFrame:
-    """Leads whose post id is not among the stored ids, safe for a post with very many leads."""
-    known = ids.select("post_id").distinct().withColumn("_stored", F.lit(True))
-    facts = key_counts(leads, "post_id").join(known, "post_id")
-    rows = lookup(leads, facts, "post_id", "seq")
-    return rows.where(F.col("_stored").isNull()).drop("_stored")
+    """Leads whose post id is not among the stored ids.
+
+    The ids are read as they are, not made distinct first, so the runtime can split a hot post.
+    """
+    return leads.join(ids.select("post_id"), "post_id", "left_anti").select(leads.columns)

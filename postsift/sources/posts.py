@@ -5,13 +5,9 @@ from pyspark.sql.window import Window
 
 from postsift import schemas
 from postsift.functions.text import bind, full_text
-from postsift.operators.lookup import key_counts, lookup
 
 DELETED = "[deleted]"
 
-# Up to this many community names are compared as a set inside the scan; more are joined.
-MAX_NAMES = 10_000
-
 # A corrupt record keeps its raw text here and goes to quarantine.
 CORRUPT = "_corrupt_record"
 
@@ -24,17 +20,16 @@ TIME_RANGES = {  # fixed values: the named time ranges of a search
     "all": None,
 }
 
+# Own demonstration rows, one for each way a post can go.
 SAMPLE_POSTS = [
-    (1, "s1", "languagelearning", "quiet_guest", "Too shy to order dinner in Japanese",
-     "I freeze up whenever the waiter looks at me.", 1702800000.0, 45, 23),
-    (2, "s2", "LearnJapanese", "paper_chaser", "Which book for JLPT N3",
-     "Sitting it in July.", 1702790000.0, 12, 8),
-    (3, "s3", "learnspanish", "box_packer", "Relocating to Lima and I still can't speak",
-     "Reading is fine, talking is not.", 1702780000.0, 67, 31),
-    (4, "s4", "Korean", "screen_fan", "Can someone translate this line?",
-     "It is from a drama.", 1702770000.0, 5, 3),
-    (5, "s5", "French", "table_talker", "Been learning for years, silent at dinner",
-     "I follow films without subtitles but blank out at the table.", 1702760000.0, 89, 45),
+    (1, "f1", "German", "ana", "Scared to speak German at work",
+     "New job starts soon and I freeze up in every meeting", 1704096000.0, 9, 4),
+    (2, "f4", "Korean", None, "Scared to speak Korean", "Any tips", 1704099600.0, 2, 0),
+    (3, "f6", "casual", "eli", "Lunch thread", "What did you eat", 1704103200.0, 31, 57),
+    (4, "f8", "languagelearning", "gus", "Life beyond Duolingo", "Ideas", 1704106800.0, 14, 6),
+    (5, "f9", "languagelearning", "hal", "Upgrade my speaking practice", "Any plan", 1704110400.0, 3, 1),
+    (6, "f11", "polyglot", "jo", "French or Spanish", "plateau in both, learning Spanish now", 1704114000.0, 22, 11),
+    (7, "f12", "LearnJapanese", "kim", "\u65e5\u672c\u8a9e plateau", "", 1704117600.0, 7, 2),
 ]
 
 
@@ -52,7 +47,7 @@ def read_json_posts(spark: SparkSession, path: str) -> tuple[DataFrame, DataFram
 
 
 def sample_posts(spark: SparkSession, limit=100) -> DataFrame:
-    """Five fixed posts for demonstrations, whatever the communities."""
+    """A few fixed posts for demonstrations, whatever the communities."""
     rows = [
         (seq, id_, sub, author, title, body, f"https://reddit.com/r/{sub}/{id_}",
          f"/r/{sub}/comments/{id_}/x/", at, score, comments)
@@ -90,38 +85,33 @@ def parse_communities(text: str | None, default: list[str]) -> list[str]:
 def in_communities(posts: DataFrame, communities) -> DataFrame:
     """Posts of the named communities (a list, or a table with ``name``), ignoring case.
 
-    A short table of names becomes a set in the scan, so posts are not moved. A longer one is
-    joined, with the rows of any community that holds much of the input spread out.
+    A list becomes a set in the scan. A table is semi-joined as it is: the runtime broadcasts it if
+    it is small and otherwise splits a community that holds much of the input.
     """
     key = F.lower("subreddit")
     if isinstance(communities, DataFrame):
-        names = communities.select(F.lower("name").alias("_key")).distinct()
-        listed = names.take(MAX_NAMES + 1)
-        if len(listed) > MAX_NAMES:
-            return _joined(posts, key, names)
-        communities = [row["_key"] for row in listed if row["_key"] is not None]
+        names = communities.select(F.lower("name").alias("_key"))
+        return posts.withColumn("_key", key).join(names, "_key", "left_semi").select(posts.columns)
     return posts.where(key.isin([name.lower() for name in communities]))
 
 
-def _joined(posts: DataFrame, key, names: DataFrame) -> DataFrame:
-    keyed = posts.withColumn("_key", key)
-    facts = key_counts(keyed, "_key").join(names.withColumn("_wanted", F.lit(True)), "_key")
-    return lookup(keyed, facts, "_key", "seq").where("_wanted").select(posts.columns)
-
-
 def _ranked(posts: DataFrame, order, limit: int, per_community: bool) -> DataFrame:
     if not per_community:
         return posts.orderBy(*order).limit(limit)
     # A rank limit on row_number is applied before the shuffle too, so a hot community sends
     # only its top rows from each task.
-    window = Window.partitionBy("subreddit").orderBy(*order)
+    window = Window.partitionBy(F.lower("subreddit")).orderBy(*order)
     return posts.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") <= limit).drop("_rank")
 
 
 def newest_posts(posts, communities, limit=100, per_community=False) -> DataFrame:
     """Newest first; ``limit`` counts over all communities together unless ``per_community``."""
+    return newest(in_communities(posts, communities), limit, per_community)
+
+
+def newest(posts, limit=100, per_community=False) -> DataFrame:
     order = [F.desc("created_utc"), F.asc("id"), F.asc("seq")]
-    return _ranked(in_communities(posts, communities), order, limit, per_community)
+    return _ranked(posts, order, limit, per_community)
 
 
 def hot_posts(posts, communities, limit=100) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from postsift import schemas
 from postsift.operators import outcomes as oc
 from postsift.operators.enrichment import apply_scores
-from postsift.operators.lookup import key_counts, lookup
+from postsift.operators.lookup import lookup
 from postsift.operators.numbering import with_batch, with_position
 
 GOLDEN = [
@@ -29,14 +29,13 @@ def ids(spark, names):
     return spark.createDataFrame([(n,) for n in names], "post_id string")
 
 
-@pytest.mark.parametrize("hot_rows", [1, 2, 500_000])
-def test_golden_outcomes(spark, hot_rows):
+def test_golden_outcomes(spark):
     leads = make_leads(spark, [row[:4] for row in GOLDEN])
     stored = ids(spark, ["a"])
-    store = oc.store_outcomes(leads, stored, 8, hot_rows)
+    store = oc.store_outcomes(leads, stored, 8)
     assert {r.seq: r.outcome for r in store.collect()} == {row[0]: row[4] for row in GOLDEN}
     assert oc.outcome_counts(store).first().asDict() == {"saved": 2, "skipped": 3, "filtered": 4}
-    sheet = oc.sheet_outcomes(leads, stored, 7, hot_rows=hot_rows)
+    sheet = oc.sheet_outcomes(leads, stored, 7)
     assert {r.seq: r.outcome for r in sheet.collect()} == {row[0]: row[5] for row in GOLDEN}
     assert oc.outcome_counts(sheet).first().asDict() == {"saved": 2, "skipped": 1, "filtered": 6}
 
@@ -67,34 +66,57 @@ def test_outcomes_equal_the_walk_with_a_hot_post(spark, seed, min_score):
     stored = {"p1", "p7"} | ({"hot"} if seed == 2 else set())
     for partitions in (1, 7):
         leads = make_leads(spark, rows).repartition(partitions)
-        for hot_rows in (50, 500_000):
-            store = oc.store_outcomes(leads, ids(spark, stored), min_score, hot_rows)
-            assert {r.seq: r.outcome for r in store.select("seq", "outcome").collect()} == walk(rows, stored, min_score, False)
-        sheet = oc.sheet_outcomes(leads, ids(spark, stored), min_score, hot_rows=50)
+        store = oc.store_outcomes(leads, ids(spark, stored), min_score)
+        assert {r.seq: r.outcome for r in store.select("seq", "outcome").collect()} == walk(rows, stored, min_score, False)
+        sheet = oc.sheet_outcomes(leads, ids(spark, stored), min_score)
         assert {r.seq: r.outcome for r in sheet.select("seq", "outcome").collect()} == walk(rows, stored, min_score, True)
 
 
-def test_hot_rows_spread_over_the_shuffle(spark):
-    rows = spark.range(40_000).select(
+def test_hot_rows_are_split_at_run_time(spark):
+    """A key with two thirds of the rows: the runtime splits it over several tasks."""
+    rows = spark.range(300_000).select(
         F.col("id").alias("seq"), F.when(F.col("id") % 3 > 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
-    facts = key_counts(rows, "k").withColumn("v", F.length("k"))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    facts = rows.groupBy("k").agg(F.max(F.length("k")).alias("v"))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "0",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
-        out = lookup(rows, facts, "k", "seq", hot_rows=1000)
-        sizes = [r["n"] for r in out.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
-        assert max(sizes) < 2 * sum(sizes) / 4 and sum(sizes) == 40_000
-        assert out.where(F.col("v") != F.length("k")).count() == 0 and out.where("v is null").count() == 0
+        out = lookup(rows, facts, "k")
+        assert out.where(F.col("v") == F.length("k")).count() == 300_000
+        out.collect()
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def test_more_hot_keys_than_may_be_broadcast(spark):
-    rows = spark.range(3000).select(F.col("id").alias("seq"), (F.col("id") % 10).cast("string").alias("k"))
-    facts = key_counts(rows, "k").withColumn("v", F.col("k").cast("int"))
-    out = lookup(rows, facts, "k", "seq", hot_rows=5, max_hot=3)
-    assert out.where(F.col("v") == F.col("k").cast("int")).count() == 3000
+def test_many_hot_keys(spark):
+    rows = spark.range(100_000).select(F.col("id").alias("seq"), (F.col("id") % 20_000).cast("string").alias("k"))
+    facts = rows.groupBy("k").agg(F.max(F.col("k").cast("int")).alias("v"))
+    assert lookup(rows, facts, "k").where(F.col("v") == F.col("k").cast("int")).count() == 100_000
+
+
+def test_positions_of_sparse_numbers(spark):
+    """Numbers over the whole 64-bit range, each in a block of its own."""
+    seqs = sorted(random.Random(0).sample(range(-2**63, 2**63, 2**50 + 12_345), 500))
+    got = {r.seq: r.position for r in with_position(spark.createDataFrame([(s,) for s in seqs], "seq long")).collect()}
+    assert got == {s: i + 1 for i, s in enumerate(seqs)}
+
+
+def test_one_answer_delivered_twice(spark):
+    from postsift.operators import enrichment as en
+    leads = make_leads(spark, [(1, "a", None, None), (2, "b", None, None)])
+    worthy = spark.createDataFrame([(1, '{"worthy":true}', 1), (1, '{"worthy":false}', 2), (2, None, 1)], "seq long, raw string, arrived int")
+    assert {r.seq: r.comment_worthy for r in en.apply_worthiness(leads, worthy).collect()} == {1: False, 2: True}
+    batch = spark.createDataFrame([(0, "no"), (0, "no")], "batch_no long, raw string")
+    single = spark.createDataFrame([(1, '{"score":3}'), (1, '{"score":3}')], "seq long, raw string")
+    got = sorted((r.seq, r.signal_score) for r in en.apply_batch_scores(leads, batch, single).collect())
+    assert got == [(1, 3), (2, None)]
 
 
 def test_null_key_finds_nothing(spark):
@@ -107,9 +129,8 @@ def test_last_score_of_an_id_wins(spark):
     scores = spark.createDataFrame(
         [("a", 0, 3, "LOW", "x"), ("a", 5, None, "HIGH", "y"), ("c", 1, 9, "HIGH", "z")],
         "post_id string, pos int, signal_score int, signal_type string, category string")
-    for hot_rows in (1, 500_000):
-        got = {r.seq: (r.signal_score, r.signal_type) for r in apply_scores(leads, scores, hot_rows).collect()}
-        assert got == {1: (None, "HIGH"), 2: (None, None), 3: (None, "HIGH")}
+    got = {r.seq: (r.signal_score, r.signal_type) for r in apply_scores(leads, scores).collect()}
+    assert got == {1: (None, "HIGH"), 2: (None, None), 3: (None, "HIGH")}
 
 
 @pytest.mark.parametrize("block", [1, 3, 7, 100_000])

@@ -1,9 +1,11 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from postsift import schemas, session
 from postsift.operators import enrichment as en, triage
-from postsift.plans.triage_run import RunOptions, monitored_names, run
+from postsift.plans.triage_run import EVERY, RunOptions, monitored_names, run
 from postsift.sinks.daily_sheet import DailySheet
 from postsift.sinks.lead_store import LeadStore
 from postsift.sources.posts import normalise
@@ -22,7 +24,8 @@ def posts(spark, sf_dir):
 
 
 def options(run_id, **more):
-    return RunOptions(as_of=AS_OF, run_id=run_id, dictionary=checks.SMALL, needles=checks.NEEDLES, **more)
+    return RunOptions(**{"as_of": AS_OF, "run_id": run_id, "communities": EVERY, "dictionary": checks.SMALL,
+                         "needles": checks.NEEDLES, **more})
 
 
 def test_run_twice(spark, posts, tmp_path):
@@ -73,7 +76,8 @@ def test_limit_and_communities(spark, posts, tmp_path):
     assert run(posts[0], store, options("r1", communities=["SRC1", "src2"], limit=7)).first().posts_fetched == 7
     want = posts[0].where("subreddit in ('src1', 'src2')").count()
     assert run(posts[0], store, options("r2", communities=["SRC1", "src2"])).first().posts_fetched == want
-    assert run(posts[0], store, options("r3", limit=5)).first().posts_fetched == 0  # none is monitored
+    for limit in (5, None):
+        assert run(posts[0], store, options("r3", communities=None, limit=limit)).first().posts_fetched == 0  # none is monitored
     assert len(monitored_names()) == 36
 
 
@@ -110,27 +114,65 @@ def test_stream_dedup_over_several_batches(spark, posts):
 
 
 def test_late_rows_are_counted(spark, tmp_path):
+    """One row behind the watermark, over three starts of one stream."""
     def drop(number, at):
         row = (number, f"p{number}", "s", "a", "t", "b", "u", "/r/", float(at), 1, 1)
         spark.createDataFrame([row], schemas.POSTS).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
 
-    drop(1, 1_700_000_000)
-    query = None
-    for number, at in ((2, 1_690_000_000), (3, 1_700_000_100)):
-        posts = st.dedup(stream_of(spark, str(tmp_path / "in")), "1 day").select("id")
-        query = (posts.writeStream.option("checkpointLocation", str(tmp_path / "c")).format("parquet")
-                 .option("path", str(tmp_path / "out")).trigger(**st.trigger()).start())
-        query.awaitTermination()
-        late = st.late_rows(query)
-        drop(number, at)
-    posts = st.dedup(stream_of(spark, str(tmp_path / "in")), "1 day").select("id")
-    query = (posts.writeStream.option("checkpointLocation", str(tmp_path / "c")).format("parquet")
-             .option("path", str(tmp_path / "out")).trigger(**st.trigger()).start())
-    query.awaitTermination()
-    assert late + st.late_rows(query) == 1
+    listener = st.LateRows(spark, str(tmp_path / "late"))
+    spark.streams.addListener(listener)
+    try:
+        for number, at in ((1, 1_700_000_000), (2, 1_690_000_000), (3, 1_700_000_100)):
+            drop(number, at)
+            posts = st.dedup(stream_of(spark, str(tmp_path / "in")), "1 day").select("id")
+            (posts.writeStream.option("checkpointLocation", str(tmp_path / "c")).format("parquet")
+             .option("path", str(tmp_path / "out")).trigger(**st.trigger()).start()).awaitTermination()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        for _ in range(50):  # the listener writes on a thread of its own
+            if st.late_rows(spark, str(tmp_path / "late")).first().late:
+                break
+            time.sleep(0.2)
+        assert st.late_rows(spark, str(tmp_path / "late")).first().late == 1
+    finally:
+        spark.streams.removeListener(listener)
     assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["p1", "p3"]
 
 
+def test_no_part_of_a_stream_is_returned(spark, posts):
+    slow = stream_of(spark, posts[1]).select("id")
+    with pytest.raises(TimeoutError):
+        st.to_table(slow, "slow", timeout=0.01)
+
+
+def test_update_mode_on_nothing(spark, tmp_path):
+    spark.createDataFrame([], schemas.POSTS).write.parquet(str(tmp_path / "in"))
+    counts = stream_of(spark, str(tmp_path / "in")).groupBy("id").count()
+    assert st.to_table(counts, "none", "update", ["id"]).collect() == []
+
+
+def test_two_streams_into_one_store(spark, posts, tmp_path):
+    store, sheet = LeadStore(spark, str(tmp_path / "s")), DailySheet(spark, str(tmp_path / "d"))
+    days = iter(f"2024-01-0{1 + i % 2} 10:00:00" for i in range(100))
+    found = set()
+    for half in (0, 1):
+        part = posts[0].where(F.col("seq") % 2 == half)
+        part.write.parquet(str(tmp_path / f"in{half}"))
+        leads = triage.to_leads(triage.classify(stream_of(spark, str(tmp_path / f"in{half}")), checks.SMALL, checks.NEEDLES), None)
+        st.start_sinks(leads.withColumn("public_draft", F.lit("d")).withColumn("signal_score", F.lit(9)),
+                       str(tmp_path / f"c{half}"), store, sheet, lambda: next(days)).awaitTermination()
+        found |= {r.post_id for r in store.stored().select("post_id").collect()}
+        assert {r.post_id for r in store.stored().select("post_id").collect()} == found
+    assert store.stored().count() == len(found) > 0 and store.stored().where("scraped_at is null").isEmpty()
+    assert [r.name for r in sheet.list_sheets().collect()] == ["Leads-2024-01-01", "Leads-2024-01-02"]
+
+
+def test_retry_with_early_dedupe_fills_the_sheet(spark, posts, tmp_path):
+    store, sheet = LeadStore(spark, str(tmp_path / "s")), DailySheet(spark, str(tmp_path / "d"))
+    again = options("r1", dedupe_early=True)
+    first = run(posts[0], store, again).first().leads_saved
+    assert run(posts[0], store, again, sheet).first().leads_saved == first > 0
+
+
 def test_triggers():
     assert st.trigger() == {"availableNow": True}
     assert st.trigger(once=False, minutes=30) == {"processingTime": "30 minutes"}

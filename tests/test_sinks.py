@@ -26,9 +26,7 @@ def counts(row):
 ROWS = [(1, "a", 9, "d"), (2, "a", 9, "d"), (3, "b", 5, "d"), (4, "c", 8, "")]
 
 
-@pytest.mark.parametrize("max_ids", [0, 500_000])
-def test_store_append(spark, tmp_path, monkeypatch, max_ids):
-    monkeypatch.setattr(store_module, "MAX_IDS", max_ids)
+def test_store_append(spark, tmp_path):
     store = LeadStore(spark, str(tmp_path))
     assert counts(store.append(leads_for(spark, ROWS), "r1", 8)) == (2, 1, 1)
     assert counts(store.append(leads_for(spark, ROWS), "r2", 8)) == (0, 3, 1)
@@ -45,6 +43,18 @@ def test_repeated_run_changes_nothing(spark, tmp_path):
     assert store.stored().count() == 2
 
 
+def test_repeated_run_that_saves_less_or_on_another_day(spark, tmp_path):
+    store, sheet = LeadStore(spark, str(tmp_path / "s")), DailySheet(spark, str(tmp_path / "d"))
+    leads = leads_for(spark, ROWS)
+    store.append(leads, "run 1/a", 8)
+    assert counts(store.append(leads, "run 1/a", 10)) == (0, 0, 4) and store.stored().count() == 0
+    sheet.append(leads, "2024-01-01 10:00:00", "run 1/a")
+    sheet.append(leads, "2024-01-02 10:00:00", "run 1/a")
+    assert sheet.read("2024-01-01 10:00:00").count() == sheet.read_actions("2024-01-01 10:00:00").count() == 0
+    assert [r.run_id for r in sheet.read().collect()] == ["run 1/a"]
+    assert counts(sheet.append(leads, "2024-01-02 10:00:00", "run 1/a", 10)) == (0, 0, 4) and sheet.read().count() == 0
+
+
 def test_changes_and_compaction(spark, tmp_path):
     store = LeadStore(spark, str(tmp_path / "v1"))
     assert store.set_status("a", "replied", "2024-01-01 00:00:00") is False

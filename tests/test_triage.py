@@ -147,8 +147,8 @@ def test_lead_from_post(golden):
 
 
 def test_sample_posts_flow(spark):
-    posts = ps.open_posts(spark)
+    posts = ps.normalise(ps.open_posts(spark))
     rows = {r.id: r.reason for r in triage.classify(posts).collect()}
-    assert rows["s1"] == rows["s3"] == "passed"
-    assert all(rows[s].startswith("excluded") for s in ("s2", "s4", "s5"))
+    assert rows["f1"] == rows["f8"] == rows["f11"] == rows["f12"] == "passed"
+    assert (rows["f4"], rows["f6"], rows["f9"]) == ("deleted_author", "no_trigger", "excluded: grade")
     assert ps.sample_posts(spark, 3).count() == 3

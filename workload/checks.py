@@ -9,7 +9,7 @@ from postsift.operators import (
     counts, enrichment as en, languages as la, numbering, outcomes as oc, projections as pr,
     triage, work_queue as wq,
 )
-from postsift.plans.triage_run import RunOptions, run
+from postsift.plans.triage_run import EVERY, RunOptions, run
 from postsift.session import shared_dir
 from postsift.sinks.daily_sheet import DailySheet
 from postsift.sinks.lead_store import LeadStore
@@ -688,7 +688,7 @@ def run_summary(spark, sf):
     """A whole run over all posts into fresh sinks, with the rubric, joined answers and drafts."""
     base = shared_dir(spark, "run-summary")
     options = RunOptions(
-        as_of=tb.AS_OF, run_id="r1", dictionary=WIDE, needles=NEEDLES, analyse=True,
+        as_of=tb.AS_OF, run_id="r1", communities=EVERY, dictionary=WIDE, needles=NEEDLES, analyse=True,
         score=lambda leads: en.rubric(leads, WIDE),
         judge=lambda leads: en.apply_worthiness(leads, tb.worthy_answers(spark, sf)),
         draft=lambda leads: leads.withColumn("public_draft", F.concat(F.lit("Re: "), "title")))
@@ -710,7 +710,7 @@ def stream_dedup(spark, sf):
   FROM classified GROUP BY 1""")
 def stream_funnel(spark, sf):
     classified = triage.classify(_stream(spark, sf), SMALL, NEEDLES)
-    rows = st.to_table(st.funnel_per_window(classified), "funnel", "complete")
+    rows = st.to_table(st.funnel_per_window(classified), "funnel", "update", ["start"])
     return rows.select(F.date_format("start", tx.SECONDS_FORMAT).alias("hour"), "total", *triage.VERDICTS)
 
 
@@ -735,5 +735,5 @@ def lifecycle_stream(spark, sf):
     field = F.when(F.col("event_type") == "purchase", "sent").when(F.col("event_type") == "signup", "sent_date").otherwise("status")
     log = e.select(F.col("user_id").alias("seq"), F.lit(None).cast("string").alias("post_id"), field.alias("field"),
                    F.col("event_type").alias("value"), F.col("ts").cast("timestamp").alias("at"))
-    rows = st.to_table(st.lifecycle(log), "lifecycle", "complete")
+    rows = st.to_table(st.lifecycle(log), "lifecycle", "update", ["seq"])
     return rows.select("seq", F.col("new_status").alias("status"), F.col("new_sent").alias("sent"), F.col("new_sent_date").alias("sent_date"))

@@ -129,7 +129,7 @@ def leads(spark, sf) -> DataFrame:
         "comment_worthy": F.when(k % 3 == 0, True).when(k % 3 == 1, False),
         "comment_worthy_reason": F.when(k % 3 == 1, "too vague"),
         "public_draft": F.when(k % 5 == 1, "").when(k % 5 == 2, "\t\n").when(
-            k % 5 > 2, F.left(F.concat("title", F.lit("\n"), "selftext"), F.lit(300))),
+            k % 5 > 2, F.concat("title", F.lit("\n"), "selftext")),
         "dm_draft": F.when(k % 2 == 0, F.concat(F.lit("Hello "), "author")),
         "mention_allowed": F.when(k % 3 == 0, k % 5 == 3),
         "status": F.element_at(statuses, k % 6 + 1),
@@ -253,7 +253,7 @@ leads AS (
     CASE k % 3 WHEN 0 THEN true WHEN 1 THEN false END AS comment_worthy,
     CASE k % 3 WHEN 1 THEN 'too vague' END AS comment_worthy_reason,
     CASE WHEN k % 5 = 1 THEN '' WHEN k % 5 = 2 THEN chr(9) || chr(10)
-         WHEN k % 5 > 2 THEN substr(title || chr(10) || selftext, 1, 300) END AS public_draft,
+         WHEN k % 5 > 2 THEN title || chr(10) || selftext END AS public_draft,
     CASE WHEN k % 2 = 0 THEN 'Hello ' || author END AS dm_draft,
     CASE WHEN k % 3 = 0 THEN k % 5 = 3 END AS mention_allowed,
     """ + "(%STATUSES%)[k % 6 + 1]" + """ AS status, k % 7 = 0 AS sent,
