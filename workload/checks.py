@@ -271,7 +271,7 @@ def newest_posts(spark, sf):
 
 
 @check(f"""WITH {POSTS} SELECT seq, id, subreddit FROM posts WHERE {_WANTED}
-  QUALIFY row_number() OVER (PARTITION BY subreddit ORDER BY {_NEWEST}) <= 7""")
+  QUALIFY row_number() OVER (PARTITION BY lower(subreddit) ORDER BY {_NEWEST}) <= 7""")
 def newest_per_community(spark, sf):
     return ps.newest_posts(tb.posts(spark, sf), tb.WANTED, 7, per_community=True).select("seq", "id", "subreddit")
 
@@ -296,9 +296,9 @@ def search_posts(spark, sf):
     return ps.search_posts(tb.posts(spark, sf), tb.WANTED, "That with", tb.AS_OF, 40, "month", "relevance").select("seq", "id")
 
 
-@check(f"{_SEARCH} AND created_utc >= epoch(TIMESTAMP '2024-02-01' - INTERVAL 7 DAYS) ORDER BY num_comments DESC, {_NEWEST} LIMIT 40")
+@check(f"{_SEARCH} AND created_utc >= epoch(TIMESTAMP '2024-02-01' - INTERVAL 365 DAYS) ORDER BY num_comments DESC, {_NEWEST} LIMIT 40")
 def search_by_comments(spark, sf):
-    return ps.search_posts(tb.posts(spark, sf), tb.WANTED, "that with", tb.AS_OF, 40, "week", "comments").select("seq", "id")
+    return ps.search_posts(tb.posts(spark, sf), tb.WANTED, "that with", tb.AS_OF, 40, "year", "comments").select("seq", "id")
 
 
 # --- keys, outcomes, sinks ----------------------------------------------------------------------
@@ -432,7 +432,8 @@ def queue_preview(spark, sf):
 
 _REQUESTS = """requests AS (
   SELECT p.id AS post_id, CASE e.event_type WHEN 'click' THEN 'contacted' WHEN 'purchase' THEN 'converted' ELSE 'bogus' END AS status, e.ts AS asked_at
-  FROM posts p JOIN events e ON e.event_id = p.seq WHERE e.event_type IN ('click', 'purchase', 'view'))"""
+  FROM posts p JOIN events e ON e.event_id % (SELECT count(*) FROM documents) = p.seq
+  WHERE e.event_type IN ('click', 'purchase', 'view'))"""
 
 
 @check(f"""WITH {LEADS}, {_REQUESTS},
@@ -452,7 +453,7 @@ def updates_found(spark, sf):
     return wq.found(rows, asked.union(rows.select("post_id")))
 
 
-@check(f"""WITH {LEADS}, asked AS (SELECT p.id AS post_id, max(e.ts) AS at FROM posts p JOIN events e ON e.event_id = p.seq
+@check(f"""WITH {LEADS}, asked AS (SELECT p.id AS post_id, max(e.ts) AS at FROM posts p JOIN events e ON e.event_id % (SELECT count(*) FROM documents) = p.seq
   WHERE e.event_type = 'signup' GROUP BY p.id),
 marked AS (SELECT min(l.seq) AS seq, any_value(a.at) AS at FROM leads l JOIN asked a ON a.post_id = l.post_id GROUP BY l.post_id)
 SELECT l.seq, coalesce(m.seq IS NOT NULL OR l.sent, false) AS sent,

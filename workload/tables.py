@@ -199,16 +199,18 @@ def batch_answers(spark, sf) -> DataFrame:
 def status_requests(spark, sf) -> DataFrame:
     """Status changes asked for by clicks, purchases and views on posts; views name no real status."""
     p = posts(spark, sf).select("seq", F.col("id").alias("post_id"))
+    n = table(spark, sf, "documents").count()
     status = F.when(F.col("event_type") == "click", "contacted").when(F.col("event_type") == "purchase", "converted")
     e = events(spark, sf).where(F.col("event_type").isin("click", "purchase", "view"))
-    e = e.select(F.col("event_id").alias("seq"), F.coalesce(status, F.lit("bogus")).alias("status"), F.col("ts").alias("at"))
+    e = e.select((F.col("event_id") % n).alias("seq"), F.coalesce(status, F.lit("bogus")).alias("status"), F.col("ts").alias("at"))
     return p.join(e, "seq").select("post_id", "status", "at")
 
 
 def sent_requests(spark, sf) -> DataFrame:
     p = posts(spark, sf).select("seq", F.col("id").alias("post_id"))
+    n = table(spark, sf, "documents").count()
     e = events(spark, sf).where(F.col("event_type") == "signup")
-    return p.join(e.select(F.col("event_id").alias("seq"), F.col("ts").alias("at")), "seq").select("post_id", "at")
+    return p.join(e.select((F.col("event_id") % n).alias("seq"), F.col("ts").alias("at")), "seq").select("post_id", "at")
 
 
 def table_languages(spark) -> DataFrame:
