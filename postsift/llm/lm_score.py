@@ -19,14 +19,17 @@ from postsift.llm.text import blocks
 from postsift.session import staged
 
 HEADS = 223
+CLASS_BITS = 10
 TAILS = 32
 END = 0  # the class of the end; also stands before a text
 CONTEXT = 3
 WIDTH = 16
-NOISE = 32
+NOISE = 24
 BATCH = 2048
+# Positions whose classes' probabilities are worked out at a time.
+AT_ONCE = 512
 RATE = 0.08
-# The most frequent words, whose counts every task holds; those of all others are joined.
+# At most so many words, the most frequent, whose counts every task holds; those of all others are joined.
 KNOWN = 50_000
 # Different words that a task counts before it passes them on.
 COUNTED = 400_000
@@ -49,12 +52,16 @@ def tail_class(word: bytes) -> int:
 
 
 class Vocabulary(dict):
-    """Word to class. Head words are given, classes of others are worked out and a bounded number kept."""
+    """Word to count and class in one number. Known words are given; others count 0 here, a bounded number is kept."""
 
-    def __init__(self, heads: list):
-        super().__init__({w: 1 + i for i, w in enumerate(heads)})
-        self.n_heads = len(heads)
-        self.size = 1 + len(heads) + TAILS
+    def __init__(self, known: list, heads: int, n_texts: int):
+        super().__init__()
+        self.n_heads = min(heads, len(known))
+        self.size = 1 + self.n_heads + TAILS
+        self.end = n_texts << CLASS_BITS | END
+        for i, (word, count) in enumerate(known):
+            cls = 1 + i if i < self.n_heads else 1 + self.n_heads + tail_class(word)
+            self[word] = count << CLASS_BITS | cls
 
     def __missing__(self, word):
         cls = 1 + self.n_heads + tail_class(word)
@@ -62,19 +69,17 @@ class Vocabulary(dict):
             self[word] = cls
         return cls
 
-    def __reduce__(self):
-        return Vocabulary, ([w for w, c in self.items() if c <= self.n_heads],)
-
-    def classes(self, texts: list):
-        """The classes of each text with its end, on end, and the lengths."""
-        rows = [[self[w] for w in words] for words in texts]
-        sizes = np.fromiter((len(r) + 1 for r in rows), np.int64, len(rows))
-        out = np.zeros(sizes.sum(), np.int32)
-        at = 0
-        for row in rows:
-            out[at: at + len(row)] = row
-            at += len(row) + 1
-        return out, sizes
+    def read(self, texts: list):
+        """Over all texts on end, each with its end: words, classes, counts; and the lengths."""
+        words, sizes = [], []
+        for text in texts:
+            own = split(text)
+            words += own
+            words.append(None)
+            sizes.append(len(own) + 1)
+        self[None] = self.end
+        codes = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        return words, (codes & ((1 << CLASS_BITS) - 1)).astype(np.int32), codes >> CLASS_BITS, np.array(sizes, np.int64)
 
 
 def contexts(classes, sizes):
@@ -87,6 +92,16 @@ def contexts(classes, sizes):
     return out
 
 
+def _sums(places, values, size):
+    """The rows of ``values`` summed by place."""
+    order = np.argsort(places.astype(np.uint16), kind="stable")
+    ordered = places[order]
+    first = np.flatnonzero(np.diff(ordered, prepend=-1))
+    out = np.zeros((size, values.shape[1]), "f4")
+    out[ordered[first]] = np.add.reduceat(values[order], first, axis=0)
+    return out
+
+
 class LogBilinear:
     """Score of class w after context c: (sum over places k of weight_k * vector of c_k) . target_w + bias_w."""
 
@@ -128,18 +143,11 @@ class LogBilinear:
             far = self.targets[noise]
             fake = 1 / (1 + np.exp(-np.clip(q @ far.T + (self.bias - log_noise)[noise], -30, 30)))
             dq = true[:, None] * target + fake @ far
-            one = np.zeros((size, len(w)), "f4")
-            one[w, np.arange(len(w))] = true
-            grad_t = one @ q
+            grad_t = _sums(w, true[:, None] * q, size)
             np.add.at(grad_t, noise, fake.T @ q)
             grad_b = np.bincount(w, true, size) + np.bincount(noise, fake.sum(0), size)
-            grad_v = np.zeros_like(self.vectors)
-            grad_w = np.empty_like(self.weights)
-            for k in range(CONTEXT):
-                one[:] = 0
-                one[c[k], np.arange(len(w))] = 1
-                grad_v += one @ (dq * self.weights[k])
-                grad_w[k] = (dq * looked[k]).sum(0)
+            grad_v = sum(_sums(c[k], dq * self.weights[k], size) for k in range(CONTEXT))
+            grad_w = np.stack([np.einsum("ij,ij->j", dq, v) for v in looked])
             for part, grad, seen in zip(self.parts(), (grad_v, grad_t, grad_w, grad_b), memory):
                 grad = grad.astype("f4") / len(w)
                 seen += grad * grad
@@ -149,16 +157,18 @@ class LogBilinear:
         """Natural log probability of each position's class, normalised over all classes."""
         before = contexts(classes, sizes)
         out = np.empty(len(classes))
-        for start in range(0, len(classes), BATCH):
-            c, w = before[:, start: start + BATCH], classes[start: start + BATCH]
-            q = sum(self.vectors[c[k]] * self.weights[k] for k in range(CONTEXT))
-            logits = q @ self.targets.T
-            logits += self.bias
-            top = logits.max(1)
-            at = logits[np.arange(len(w)), w] - top
-            logits -= top[:, None]
+        # The bias as one more place of the product; a shift for all rows keeps the powers in range.
+        matrix = np.concatenate([self.targets, (self.bias - self.bias.max())[:, None]], 1).T.copy()
+        ones = np.ones(len(self.bias), "f4")
+        q = np.ones((AT_ONCE, WIDTH + 1), "f4")
+        for start in range(0, len(classes), AT_ONCE):
+            c, w = before[:, start: start + AT_ONCE], classes[start: start + AT_ONCE]
+            q[: len(w), :WIDTH] = sum(self.vectors[c[k]] * self.weights[k] for k in range(CONTEXT))
+            logits = q[: len(w)] @ matrix
+            logits -= max(0.0, float(logits.max()) - 40)
+            at = logits[np.arange(len(w)), w]
             np.exp(logits, out=logits)
-            out[start: start + BATCH] = at - np.log(logits.sum(1))
+            out[start: start + AT_ONCE] = at - np.log(logits @ ones)
         return out
 
 
@@ -194,9 +204,16 @@ class Corpus:
     """What every task knows: totals, the counts of frequent words, sums by tail class."""
 
     def __init__(self, counts: DataFrame, n_texts: int):
-        top = counts.orderBy(F.desc("n"), "word").limit(KNOWN).collect()
-        self.counts = {bytes(r.word): r.n for r in top}
-        self.vocabulary = Vocabulary([bytes(r.word) for r in top[:HEADS]])
+        # How many words have each count: at most about the root of the corpus in rows, however many words.
+        least, words = None, 0
+        for n, many in sorted(counts.groupBy("n").count().collect(), reverse=True):
+            words += many
+            if words > KNOWN:
+                break
+            least = n
+        top = [] if least is None else counts.where(F.col("n") >= least).collect()
+        top.sort(key=lambda r: (-r.n, bytes(r.word)))
+        self.vocabulary = Vocabulary([(bytes(r.word), r.n) for r in top], HEADS, n_texts)
         heads = [bytes(r.word) for r in top[:HEADS]]
         tail = counts.where(~F.col("word").isin(heads)) if heads else counts
         by_tail = tail.groupBy((F.crc32(F.expr("substring(word, greatest(length(word) - 2, 1), 3)")) % TAILS).alias("tail")).agg(
@@ -229,7 +246,7 @@ def train(texts: DataFrame, corpus: Corpus) -> LogBilinear:
         memory = [np.full(p.shape, 1e-3, "f4") for p in model.parts()]
         for whole in batches:
             for batch in blocks(whole, "text"):
-                classes, sizes = known.vocabulary.classes([split(t) for t in batch.column("text").to_pylist()])
+                _, classes, _, sizes = known.vocabulary.read(batch.column("text").to_pylist())
                 model.train(classes, sizes, rng, memory)
                 seen += len(classes)
         if seen:
@@ -243,6 +260,7 @@ def train(texts: DataFrame, corpus: Corpus) -> LogBilinear:
     return corpus.model.set(np.array([r.value for r in mean])) if mean else corpus.model
 
 
+PART_TYPES = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.int64())
 PART = T.StructType([
     T.StructField("row", T.LongType()), T.StructField("doc_id", T.LongType()), T.StructField("held_out", T.BooleanType()),
     T.StructField("n_tokens", T.LongType()), T.StructField("n_known", T.LongType()),
@@ -269,39 +287,30 @@ def scores(docs: DataFrame) -> DataFrame:
 
     def score(batches):
         known = shared.value
-        count, cls = known.counts, known.vocabulary
-        least = known.base(0)
-        end = known.base(known.n_texts)
         for whole in batches:
             for batch in blocks(whole, "text"):
-                texts = [split(t) for t in batch.column("text").to_pylist()]
-                classes, sizes = cls.classes(texts)
+                words, classes, count, sizes = known.vocabulary.read(batch.column("text").to_pylist())
+                first = np.cumsum(sizes) - sizes
                 logs = known.model.log_probs(classes, sizes) / np.log(10)
                 tails = classes > n_heads
-                logs[tails] -= share[classes[tails] - n_heads - 1]
-                totals = np.add.reduceat(logs, np.cumsum(sizes) - sizes) if len(sizes) else logs
-                at, rare = 0, []
-                out = [[] for _ in PART.names]
-                for i, (words, total) in enumerate(zip(texts, totals.tolist())):
-                    found = np.array([count.get(w, 0) for w in words], np.int64)
-                    n = len(found)
-                    tail = tails[at: at + n]
-                    at += n + 1
-                    seen = found > 0
-                    # Words outside the table stand here as unseen; the join adds what their counts add.
-                    base = float(known.base(found[seen]).sum() + least * (n - seen.sum()) + end)
-                    total += float(np.log10(found[tail & seen] + 1.0).sum())
-                    row = (batch.column("row")[i].as_py(), batch.column("doc_id")[i].as_py(), batch.column("held_out")[i].as_py(),
-                           n + 1, int(seen.sum()) + (known.n_texts > 0), base, total, None, None)
-                    for column, value in zip(out, row):
-                        column.append(value)
-                    for word, times in Counter(w for w, s in zip(words, seen.tolist()) if not s).items():
-                        rare.append((row[0], word, times))
-                yield _rows(out)
-                if rare:
-                    names = [None] * len(rare)
-                    keys, words, times = zip(*rare)
-                    yield _rows([keys, names, names, names, names, names, names, words, times])
+                # Words outside the table stand here with count 0; the join adds what their counts add.
+                logs[tails] += np.log10(count[tails] + 1.0) - share[classes[tails] - n_heads - 1]
+                n = batch.num_rows
+                none = pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64())
+                totals = [np.add.reduceat(x, first) for x in (count > 0, known.base(count), logs)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("row"), batch.column("doc_id"), batch.column("held_out"), pa.array(sizes),
+                     pa.array(totals[0].astype(np.int64)), pa.array(totals[1]), pa.array(totals[2]), *none], names=PART.names)
+                at = np.flatnonzero(count == 0)
+                at = at[np.not_equal(classes[at], END)]
+                if len(at):
+                    owner = batch.column("row").take(pa.array(np.searchsorted(first, at, "right") - 1)).to_pylist()
+                    rare = Counter(zip(owner, map(words.__getitem__, at.tolist())))
+                    keys, unknown = zip(*rare)
+                    gone = [pa.nulls(len(keys), PART_TYPES[i]) for i in range(1, 7)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(keys, pa.int64()), *gone, pa.array(unknown, pa.binary()),
+                         pa.array(list(rare.values()), pa.int64())], names=PART.names)
 
     parts = rows.mapInArrow(score, PART)
     # Rows without a word are spread over the join by their row number, they match nothing.
@@ -316,8 +325,3 @@ def scores(docs: DataFrame) -> DataFrame:
         (F.sum("score") + F.coalesce(F.sum(gain), F.lit(0.0))).alias("score"))
     return done.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(corpus.tokens).cast("long").alias("train_tokens"),
                        "base_score", "score")
-
-
-def _rows(columns):
-    types = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.int64())
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=PART.names)
