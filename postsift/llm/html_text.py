@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from postsift.llm.sampling import by_hash
 from postsift.llm.text import blocks
 
 # Elements by their part in a page.
@@ -179,8 +180,8 @@ def learn_weights(pages: list) -> Weights:
 
 def learn(pages: DataFrame, sample: int = SAMPLE) -> Weights:
     """Weights from at most ``sample`` labelled pages, taken by hash from all."""
-    labelled = pages.where(F.lower("html").rlike("<(article|main)[\\s>]")).select("html")
-    rows = labelled.orderBy(F.xxhash64("html")).limit(sample).collect()
+    labelled = pages.where(F.lower("html").rlike("<(article|main)[\\s>]")).select("page_id", "html")
+    rows = by_hash(labelled, sample, "page_id", "html").collect()
     return learn_weights([r.html for r in rows])
 
 

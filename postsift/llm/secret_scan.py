@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from postsift.llm.sampling import by_hash
 from postsift.llm.text import blocks
 from postsift.session import staged
 
@@ -195,7 +196,7 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> Formats:
         F.length("value") <= LONGEST_LEARNT).distinct(), "credentials")
     chosen: dict = {k: [] for k in range(4)}
     for kind in chosen:
-        rows = found.where(F.col("kind") == kind).orderBy(F.xxhash64("value"), "value").limit(sample)
+        rows = by_hash(found.where(F.col("kind") == kind), sample, "value")
         chosen[kind] = [r.value for r in rows.collect()]
     ordinary = chosen.pop(3)
     return Formats(chosen, ordinary)
