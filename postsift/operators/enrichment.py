@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from postsift.dictionaries import CATEGORIES, Dictionary, default_dictionary
 from postsift.functions import jsontext as js, text as tx
-from postsift.functions.sampling import chosen
+from postsift.functions.sampling import chosen, pick
 from postsift.operators.lookup import lookup
 from postsift.operators.numbering import with_batch
 
@@ -291,17 +291,21 @@ def assign_mention(leads: DataFrame, probability=MENTION_PROBABILITY, seed="0")
     return leads.withColumn("mention_allowed", chosen(F.col("post_id"), probability, seed))
 
 
-def draft_requests(leads: DataFrame, templates: dict, require_worthy=True) -> DataFrame:
+def draft_requests(leads: DataFrame, templates: dict, require_worthy=True, model=None, mentions=()) -> DataFrame:
     """Public and DM draft requests for worthy leads, from the caller's templates.
 
     ``templates`` has the keys ``public`` (used where no mention is allowed), ``public_mention``
-    and ``dm``.
+    and ``dm``; ``public_mention`` may hold ``{mention}``, one of the caller's ``mentions``, drawn evenly by
+    post id. With ``model`` the rows name the model to ask.
     """
+    mention = F.lit("")
+    if mentions:
+        mention = F.element_at(F.array(*[F.lit(text) for text in mentions]), pick(F.col("post_id"), len(mentions)) + 1)
     chosen_leads = leads.where("comment_worthy") if require_worthy else leads
     shared = {"subreddit": F.col("subreddit"), "title": F.col("title"), "body": tx.clip(F.col("body"), BODY_CHARS)}
     public = F.when(
         F.coalesce("mention_allowed", F.lit(False)),
-        js.fill(templates["public_mention"], **shared, category=tx.text_or(F.col("category"), DEFAULT_CATEGORY)),
+        js.fill(templates["public_mention"], **shared, mention=mention, category=tx.text_or(F.col("category"), DEFAULT_CATEGORY)),
     ).otherwise(js.fill(templates["public"], **shared))
     direct = js.fill(
         templates["dm"], title=F.col("title"),
@@ -311,9 +315,16 @@ def draft_requests(leads: DataFrame, templates: dict, require_worthy=True) -> Da
         F.struct(F.lit("public").alias("kind"), public.alias("prompt"), F.lit(PUBLIC_TOKENS).alias("max_tokens")),
         F.struct(F.lit("dm").alias("kind"), direct.alias("prompt"), F.lit(DM_TOKENS).alias("max_tokens")),
     )
-    return chosen_leads.select("seq", "post_id", "mention_allowed", F.inline(requests)).select(
+    rows = chosen_leads.select("seq", "post_id", "mention_allowed", F.inline(requests)).select(
         F.concat_ws(":", "kind", F.col("seq").cast("string")).alias("request_id"), "*",
         F.lit(TEXT_TEMPERATURE).alias("temperature"))
+    return rows if model is None else rows.withColumn("model", F.lit(model))
+
+
+def for_model(requests: DataFrame, model: str, json_prefix: str) -> DataFrame:
+    """Requests with the model to ask, and JSON mode where JSON is wanted and the model's family knows it."""
+    return requests.withColumns({
+        "model": F.lit(model), "json_mode": json_mode(F.col("json_answer"), F.lit(model), json_prefix)})
 
 
 def apply_drafts(leads: DataFrame, answers: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from postsift.operators import enrichment as en, triage, work_queue as wq
+from postsift.operators import counts, enrichment as en, triage, work_queue as wq
 from postsift.plans.triage_run import EVERY, RunOptions, run
 from postsift.session import shared_dir
 from postsift.sinks.daily_sheet import DailySheet
@@ -134,12 +134,27 @@ def answers_twice(spark, sf):
     return rows.select("seq", "comment_worthy", "comment_worthy_reason")
 
 
-@check(f"""WITH {LEADS}, asked AS (SELECT seq, CASE WHEN seq % 2 = 0 THEN 'alpha-1' ELSE 'beta-1' END AS model FROM leads)
-SELECT seq, model, model = 'alpha-1' AS json_mode FROM asked""")
+@check(f"""WITH {LEADS} SELECT seq, model, model = 'alpha-1' AS json_mode FROM leads, (VALUES ('alpha-1'), ('beta-1')) AS m(model)""")
 def json_mode_requests(spark, sf):
-    rows = en.score_requests(tb.leads(spark, sf), "{title}").withColumn(
-        "model", F.when(F.col("seq") % 2 == 0, "alpha-1").otherwise("beta-1"))
-    return rows.select("seq", "model", en.json_mode(F.col("json_answer"), F.col("model"), "alpha").alias("json_mode"))
+    """The same requests to two models, of which one family knows JSON mode."""
+    rows = en.score_requests(tb.leads(spark, sf), "{title}")
+    return _union([en.for_model(rows, model, "alpha").select("seq", "model", "json_mode") for model in ("alpha-1", "beta-1")])
+
+
+@check(f"""WITH {LEADS} SELECT 'public:' || seq AS request_id, 'beta-1' AS model, CASE WHEN coalesce(mention_allowed, false)
+  THEN title || ' ' || ['one', 'two', 'three'][('0x' || substr(md5(post_id || ':pick'), 1, 8))::BIGINT % 10000 % 3 + 1] ELSE title END AS prompt
+FROM leads WHERE comment_worthy""")
+def draft_mentions(spark, sf):
+    """Draft requests with a model and one of three mention texts drawn by post id."""
+    templates = {"public": "{title}", "public_mention": "{title} {mention}", "dm": "{title}"}
+    rows = en.draft_requests(tb.leads(spark, sf), templates, model="beta-1", mentions=("one", "two", "three"))
+    return rows.where("kind = 'public'").select("request_id", "model", "prompt")
+
+
+@check("""SELECT count(*) FILTER (event_type <> 'error') AS succeeded, count(*) AS runs FROM events""")
+def run_successes(spark, sf):
+    """Events as a log of runs: how many ended well."""
+    return counts.run_counts(tb.events(spark, sf).select((F.col("event_type") != "error").alias("success")))
 
 
 @check(f"WITH {LEADS} SELECT seq, CAST(length(title) % 11 AS INTEGER) AS signal_score FROM leads")
