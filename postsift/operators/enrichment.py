@@ -13,6 +13,7 @@ from postsift.operators.lookup import lookup
 from postsift.operators.numbering import with_batch
 
 # What a score answer means when a key is absent.
+SCORE_RANGE = (1, 10)
 DEFAULT_SCORE, DEFAULT_TYPE, DEFAULT_CATEGORY = 5, "MEDIUM", "General Learning"
 
 # Size limits and sampling temperature of each kind of request.
@@ -155,6 +156,17 @@ def parse_score_answers(answers: DataFrame) -> DataFrame:
     return parsed.select(*answers.columns, "extracted", *fields, (~good).alias("needs_retry"))
 
 
+def quarantined_scores(parsed: DataFrame) -> DataFrame:
+    """Rows of ``parse_score_answers`` that hold no score from 1 to 10, with the cause.
+
+    The other rows are ``parsed`` without these; whoever applies scores decides what to leave out.
+    """
+    cause = (
+        F.when(F.col("needs_retry"), "unreadable").when(F.col("signal_score").isNull(), "no score")
+        .when(~F.col("signal_score").between(*SCORE_RANGE), "out of range"))
+    return parsed.withColumn("cause", cause).where(F.col("cause").isNotNull())
+
+
 def one_answer(answers: DataFrame, key: str) -> DataFrame:
     """(key, raw): of several answers to one request the last to arrive, by ``arrived`` if there is such a column."""
     order = ["arrived", "raw"] if "arrived" in answers.columns else ["raw"]

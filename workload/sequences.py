@@ -185,3 +185,24 @@ def stream_two_checkpoints(spark, sf):
         leads = triage.to_leads(triage.classify(posts, ck.SMALL, ck.NEEDLES), tb.AS_OF)
         st.start_sinks(leads, f"{base}/checkpoint-{half}", store=store).awaitTermination()
     return store.stored().select("post_id")
+
+
+_HITS = " + ".join(
+    f"(CASE WHEN list_has_any(list_concat(trig, excl), {tb.sql_list(ck.WIDE.with_signal(signal))}) THEN {points} ELSE 0 END)"
+    for signal, points in en.RUBRIC_POINTS.items())
+
+
+@check(f"""{ck.TRIAGE_WIDE} SELECT seq, CAST(greatest(1, least(10, 5 + {_HITS})) AS INTEGER) AS signal_score
+FROM matched WHERE author <> '[deleted]' AND len(trig) > 0""")
+def rubric_with_excludes(spark, sf):
+    """The rubric where posts with exclude terms are kept, so a wish for something free costs its points."""
+    rows = triage.classify(tb.posts(spark, sf), ck.WIDE, ck.NEEDLES, exclude_on_match=False).where("passed")
+    return en.rubric(rows, ck.WIDE, ("matched_triggers", "matched_excludes")).select("seq", "signal_score")
+
+
+@check(f"""WITH {ck._ANSWERS}, {ck._JSON} SELECT seq, signal_score, CASE WHEN needs_retry THEN 'unreadable'
+  WHEN signal_score IS NULL THEN 'no score' ELSE 'out of range' END AS cause
+FROM parsed WHERE needs_retry OR signal_score IS NULL OR signal_score NOT BETWEEN 1 AND 10""")
+def score_quarantine(spark, sf):
+    parsed = en.parse_score_answers(tb.score_answers(spark, sf))
+    return en.quarantined_scores(parsed).select("seq", "signal_score", "cause")
