@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postsift.llm.text import blocks
+from postsift.llm.text import blocks, flat, lowered, shingle_hashes, word_hashes, words
 from postsift.session import staged
 
 RADIUS = 3
@@ -226,11 +226,178 @@ def near_dups(docs: DataFrame) -> DataFrame:
         F.col("first.doc_id").alias("component_id"))
 
 
+# ---- the pipeline's stage: similar documents, verified ---------------------------------------------------
+
+# Two documents are near copies when their sets of five-word shingles share this part of their union.
+SIMILAR = (4, 5)
+# Documents of that similarity differ in about 10 of 64 bits, rarely in over 20.
+WIDE = 20
+# Shards: MATCHING minima of the shingle hashes together. 16 shards miss a pair of similarity 0.8 once in 4500.
+MATCHING, SHARDS = 4, 16
+# Links of a node that each tree gives to be checked, besides those that join the tree.
+NEAREST = 8
+_FACTORS = np.random.default_rng(11).integers(0, 1 << 63, MATCHING * SHARDS, np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def simhash(hashes: np.ndarray) -> int:
+    """The 64-bit SimHash of distinct shingle hashes; zero for none."""
+    ones = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), 1 << 16):
+        bits = np.unpackbits(hashes[at: at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        ones += bits.sum(0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.int64)[0])
+
+
+def shard_keys(hashes: np.ndarray) -> list:
+    """A key for each group of MATCHING minima of the shingle hashes; none without shingles."""
+    if not len(hashes):
+        return []
+    least = np.array([(hashes * f).min() for f in _FACTORS]).reshape(SHARDS, MATCHING)
+    return [xxhash.xxh64_intdigest(row.tobytes(), i) - (1 << 63) for i, row in enumerate(least)]
+
+
+def shingle_sets(column):
+    """For each text its distinct five-word shingle hashes, in order."""
+    data, offsets = flat(column)
+    starts, ends, rows = words(lowered(data), offsets)
+    hashes, bounds = shingle_hashes(word_hashes(lowered(data), starts, ends), rows, len(column))
+    for i in range(len(column)):
+        yield np.unique(hashes[bounds[i]: bounds[i + 1]])
+
+
+MARKS = [T.StructField("__same", T.BinaryType()), T.StructField("__print", T.LongType()),
+         T.StructField("__keys", T.ArrayType(T.LongType()))]
+
+
+def add_marks(docs: DataFrame) -> DataFrame:
+    """``docs`` with a digest of the shingle set, its SimHash and its shard keys."""
+    names = docs.columns + [f.name for f in MARKS]
+
+    def add(batches):
+        for whole in batches:
+            for batch in blocks(whole, "text"):
+                same, prints, keys = [], [], []
+                for own in shingle_sets(batch.column("text")):
+                    same.append(xxhash.xxh3_128_digest(own.tobytes()))
+                    prints.append(simhash(own))
+                    keys.append(shard_keys(own))
+                made = [pa.array(same, pa.binary()), pa.array(prints, pa.int64()), pa.array(keys, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(batch.columns + made, names=names)
+
+    return docs.mapInArrow(add, T.StructType(docs.schema.fields + MARKS))
+
+
+def forest(n: int, a: np.ndarray, b: np.ndarray, gap: np.ndarray) -> np.ndarray:
+    """Places of the pairs that join ``n`` members with the least gaps (Boruvka's spanning forest)."""
+    label, chosen = np.arange(n), []
+    left = np.lexsort((np.arange(len(a)), gap))
+    while True:
+        x, y = label[a[left]], label[b[left]]
+        left, x, y = (v[x != y] for v in (left, x, y))
+        if not len(left):
+            return np.concatenate(chosen) if chosen else np.empty(0, np.int64)
+        first = np.full(n, len(left))
+        np.minimum.at(first, x, np.arange(len(left)))
+        np.minimum.at(first, y, np.arange(len(left)))
+        picked = left[np.unique(first[first < len(left)])]
+        chosen.append(picked)
+        unite(label, a[picked], b[picked])
+
+
+def worth_checking(n: int, a: np.ndarray, b: np.ndarray, gap: np.ndarray) -> np.ndarray:
+    """Places of the pairs among the NEAREST of either end, and of those that ``forest`` takes."""
+    ends, pair = np.concatenate([a, b]), np.tile(np.arange(len(a)), 2)
+    order = np.lexsort((gap[pair], ends))
+    ranked = ends[order]
+    near = np.arange(len(order)) - np.searchsorted(ranked, ranked) < NEAREST
+    return np.union1d(pair[order[near]], forest(n, a, b, gap))
+
+
+def _candidates(batches):
+    """Rows (shard, member, node, print) sorted by shard, members first: the links worth checking."""
+    held_shard, held, held_node = np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64)
+    for batch in batches:
+        shard = np.concatenate([held_shard, batch.column("shard").to_numpy()])
+        prints = np.concatenate([held, batch.column("print").to_numpy().view(np.uint64)])
+        node = np.concatenate([held_node, batch.column("node").to_numpy()])
+        member = np.concatenate([np.ones(len(held), bool), batch.column("member").to_numpy(zero_copy_only=False) == 0])
+        if not len(shard):
+            continue
+        inside = np.flatnonzero(member)
+        asking = np.arange(len(held), len(prints))
+        trees = build_trees(prints[inside], shard[inside])
+        best = [np.empty(0, np.int64)] * 3
+        for q, v in search_trees(trees, prints[inside], prints[asking], shard[asking], WIDE, 512):
+            a, b = asking[q], inside[v]
+            once = a > b  # members meet one another twice
+            a, b = a[once], b[once]
+            best = [np.concatenate(pair) for pair in zip(best, (a, b, np.bitwise_count(prints[a] ^ prints[b]).astype(np.int64)))]
+            if len(best[0]) > 1 << 20:
+                kept = worth_checking(len(prints), *best)
+                best = [x[kept] for x in best]
+        kept = worth_checking(len(prints), *best)
+        yield pa.RecordBatch.from_arrays([pa.array(node[x[kept]]) for x in best[:2]], names=["a", "b"])
+        open_ = member & (shard == shard[-1])
+        held_shard, held, held_node = shard[open_], prints[open_], node[open_]
+
+
+def candidates(nodes: DataFrame, tree_size: int = TREE_SIZE) -> DataFrame:
+    """Links (a, b) between ``node``s that share a shard of ``keys`` and differ in at most WIDE bits of ``print``.
+
+    Each shard is a BK-tree, a large one several as in ``links``. Of the pairs in a tree each node's
+    nearest are given and those that join the tree with the least differences, never all.
+    """
+    keyed = nodes.select("node", "print", F.explode("keys").alias("key"))
+    large = (keyed.groupBy("key").count().where(F.col("count") > tree_size)
+             .select("key", F.ceil(F.col("count") / tree_size).alias("trees")))
+    own = F.pmod(F.xxhash64("node"), F.coalesce("trees", F.lit(1)))
+    placed = keyed.join(large, "key", "left").withColumn("own", own)
+    tiles = placed.select("node", "print", "key", "own", F.explode(F.sequence(F.lit(0).cast("long"), "own")).alias("tile"))
+    shards = tiles.select(
+        F.xxhash64("key", "tile").alias("shard"),
+        F.when(F.col("tile") == F.col("own"), 0).otherwise(1).alias("member"), "node", "print")
+    dealt = shards.repartition("shard").sortWithinPartitions("shard", "member")
+    pairs = dealt.mapInArrow(_candidates, EDGE)
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The ``pairs`` (a, b) whose shingle sets are similar; ``texts`` has node and text."""
+    def sets(batches):
+        for whole in batches:
+            for batch in blocks(whole, "text"):
+                own = pa.array([s.view(np.int64) for s in shingle_sets(batch.column("text"))], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([batch.column("node"), own], names=["node", "shingles"])
+
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    held = staged(texts.join(ends, "node", "left_semi").select("node", "text").mapInArrow(
+        sets, "node long, shingles array<long>"), "shingles")
+    met = pairs.join(held.toDF("a", "sa"), "a").join(held.toDF("b", "sb"), "b").select(
+        "a", "b", F.size(F.array_intersect("sa", "sb")).alias("common"), (F.size("sa") + F.size("sb")).alias("both"))
+    part, whole = SIMILAR
+    return met.where(whole * F.col("common") >= part * (F.col("both") - F.col("common"))).select("a", "b")
+
+
 def keep_first(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of each near-duplicate group: the smallest doc_id, of equal ones any one."""
+    """``docs`` with one row of each near-duplicate group: the smallest doc_id, of equal ones any one.
+
+    Two rows are linked when their sets of five-word shingles (letters lowered; all words where
+    there are fewer) have a similarity of 0.8 or more, checked on the sets; groups are what
+    links connect. Rows of equal sets go together first; BK-trees over the SimHashes of those
+    that share minima find the links to check. Null and empty texts are one group.
+    """
     kept = docs.columns
-    row = docs.withColumn("__row", F.monotonically_increasing_id())
-    tagged = staged(add_fingerprints(row, name="__print"), "fingerprinted")
-    firsts = grouped(tagged.select("doc_id", "__row", F.col("__print").alias("fingerprint")), ("doc_id", "__row"))
-    first = firsts.select(F.col("first.__row").alias("__row")).distinct()
-    return tagged.join(first, "__row", "left_semi").select(*[F.col(f"`{c}`") for c in kept])
+    marks = [f.name for f in MARKS]
+    inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("__doc"), "doc_id", "text",
+                        F.monotonically_increasing_id().alias("__row"))
+    tagged = staged(add_marks(inner), "fingerprinted")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col("__row").alias("node")))
+    # One node for each shingle set: the first of its rows.
+    nodes = tagged.groupBy("__same").agg(first.alias("first"), *[F.min(c).alias(c) for c in marks[1:]])
+    nodes = staged(nodes.select(F.col("first.node").alias("node"), "first", F.col("__print").alias("print"),
+                                F.col("__keys").alias("keys")), "nodes")
+    pairs = staged(candidates(nodes), "candidates")
+    roots = components(verified(pairs, tagged.select(F.col("__row").alias("node"), "text")))
+    placed = nodes.join(roots, "node", "left").select(F.coalesce("root", "node").alias("root"), "first")
+    firsts = placed.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.node").alias("__row"))
+    return tagged.join(firsts, "__row", "left_semi").select(*[F.col(f"__doc.`{c}`").alias(c) for c in kept])
