@@ -16,15 +16,20 @@ MAX_NOISE_SHARE = 0.3
 CAPITALS = "(?<![\\p{L}])[A-Z\\u00c0-\\u00d6\\u00d8-\\u00de]{2,}(?![\\p{L}])"
 MAX_CAPITAL_SHARE = 0.6
 MIN_CAPITAL_WORDS = 4
-# Navigation: three or more short entries, each closed by a bar, an arrow or a bullet.
-NAVIGATION = "[^|>\\u00bb\\u2022\\u00b7]{1,30}[|>\\u00bb\\u2022\\u00b7]"
+# Navigation: three or more short entries, each between a bar, an arrow or a bullet (or the start) and the next,
+# that cover more than this share of the line. What a guillemet opens before it closes is a quotation.
+NAVIGATION = "(?<![^|>\\u00bb\\u2022\\u00b7])[^|>\\u00ab\\u00bb\\u2022\\u00b7]{1,30}[|>\\u00bb\\u2022\\u00b7]"
 MIN_NAVIGATION = 3
-# Boilerplate, and one word six times in a row.
+MAX_NAVIGATION_SHARE = 0.5
+# Boilerplate, when there is a phrase of it in every so many words; and runs of one word, six times or more in a row,
+# that cover more than this share of the line.
 BOILERPLATE = (
     "[Cc]ookies? |[Jj]ava[Ss]cript|[Aa]ll [Rr]ights [Rr]eserved|[Tt]erms of (?:[Uu]se|[Ss]ervice)|"
     "[Pp]rivacy [Pp]olicy|[Rr]eleased under the .{1,20} [Ll]icen[cs]e|[Cc]lick here|[Ss]ign up|[Ll]og in|[Ll]orem ipsum"
 )
-REPETITION = "(?<![^ ])([^ ]+)(?: \\1){5}(?![^ ])"
+WORDS_TO_A_PHRASE = 20
+REPETITION = "(?<![^ ])([^ ]+)(?: \\1){5,}(?![^ ])"
+MAX_REPETITION_SHARE = 0.3
 # A document is rejected when its failing lines hold more than this share of its non-blank characters.
 MAX_LOST_SHARE = 0.5
 
@@ -46,6 +51,11 @@ def with_columns(df: DataFrame, **columns: Column) -> DataFrame:
         *rest, *[F.col(f"__made.{n}").alias(n) for n in columns])
 
 
+def covered(line: Column, pattern: str) -> Column:
+    """The share of a line's characters that matches of ``pattern`` take."""
+    return 1 - F.length(F.regexp_replace(line, pattern, "")) / F.length(line)
+
+
 def line_fails(line: Column) -> Column:
     """Whether the rules drop a line that has words: symbols, capitals, navigation, boilerplate, repetition."""
     words = F.length(line) - F.length(F.replace(line, F.lit(" "))) + 1
@@ -53,8 +63,10 @@ def line_fails(line: Column) -> Column:
     return (
         (F.regexp_count(line, F.lit(NOISE)) > words * MAX_NOISE_SHARE)
         | ((capital >= MIN_CAPITAL_WORDS) & (capital > words * MAX_CAPITAL_SHARE))
-        | (line.rlike("[|>\\u00bb\\u2022\\u00b7]") & (F.regexp_count(line, F.lit(NAVIGATION)) >= MIN_NAVIGATION))
-        | line.rlike(BOILERPLATE) | line.rlike(REPETITION))
+        | (line.rlike("[|>\\u00bb\\u2022\\u00b7]") & (F.regexp_count(line, F.lit(NAVIGATION)) >= MIN_NAVIGATION)
+           & (covered(line, NAVIGATION) > MAX_NAVIGATION_SHARE))
+        | (line.rlike(BOILERPLATE) & (F.regexp_count(line, F.lit(BOILERPLATE)) * WORDS_TO_A_PHRASE >= words))
+        | (line.rlike(REPETITION) & (covered(line, REPETITION) > MAX_REPETITION_SHARE)))
 
 
 def solid(text: Column) -> Column:
