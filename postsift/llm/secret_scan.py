@@ -152,18 +152,19 @@ class Formats:
         return total / len(text)
 
     def secret(self, text: str) -> bool:
-        best = max((a.per_symbol(text) - a.floor, a.per_symbol(text)) for a in self.automata) if self.automata else (-1, 0)
-        return best[0] >= 0 and best[1] - self.ordinary(text) >= MARGIN
+        """Whether one and the same format passes both tests."""
+        ordinary = self.ordinary(text)
+        rates = ((a.per_symbol(text), a.floor) for a in self.automata)
+        return any(rate >= floor and rate - ordinary >= MARGIN for rate, floor in rates)
 
     def spans(self, text: str) -> list:
-        """The base matches and the learnt ones, which overlap no base match."""
+        """The base matches and the learnt ones; those inside a base match are not given again."""
         base = base_spans(text)
-        found, i = [], 0
+        found = []
         if self.automata:
             for m in CANDIDATE.finditer(text):
-                if any(s < m.end() and m.start() < e for s, e, _ in base) or not self.secret(m.group()):
-                    continue
-                found.append((m.start(), m.end(), 3))
+                if not any(s <= m.start() and m.end() <= e for s, e, _ in base) and self.secret(m.group()):
+                    found.append((m.start(), m.end(), 3))
         return sorted(base + found, key=lambda s: (s[0], s[2]))
 
 
