@@ -20,6 +20,7 @@ from postsift.llm.text import blocks
 HIDDEN = ("script", "style", "noscript", "template", "head", "title", "svg", "math", "iframe", "object",
           "canvas", "audio", "video", "select", "textarea", "button")
 RAW = ("script", "style", "textarea", "title", "iframe", "noscript")
+RAW_END = {name: re.compile(f"</{name}", re.IGNORECASE | re.ASCII) for name in RAW}
 VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
 INLINE = ("a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i",
           "ins", "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong",
@@ -65,7 +66,7 @@ def tokens(page: str):
     ``context`` is the set of keys of the elements around. Text in hidden elements is left out.
     """
     stack, context = [], ()
-    position, size, lowered = 0, len(page), None
+    position, size = 0, len(page)
     while position < size:
         match = TOKEN.match(page, position)
         if match is None:  # a tag that is never closed: the rest is no text
@@ -98,11 +99,10 @@ def tokens(page: str):
                         break
                 context = stack[-1][1] if stack else ()
             if name in RAW:
-                lowered = page.lower() if lowered is None else lowered
-                end = lowered.find(f"</{name}", position)
-                if end < 0:
+                end = RAW_END[name].search(page, position)
+                if end is None:
                     return
-                position = end
+                position = end.start()
             if name not in VOID and not piece.endswith("/>"):
                 context = context + tuple(k for k in keys if k not in context)
                 stack.append((name, context))
