@@ -26,6 +26,8 @@ INLINE = ("a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "dat
           "ins", "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong",
           "sub", "sup", "time", "tt", "u", "var", "wbr", "nobr")
 BOILERPLATE = ("nav", "header", "footer", "aside", "form", "menu", "dialog", "fieldset", "figcaption")
+# Of these, the ones that may also be wrapped around a whole page.
+WRAPPERS = ("form", "fieldset")
 CONTENT = ("article", "main")
 # Elements that hold anything: what stands in them says nothing, and their tags are cheap.
 NEUTRAL = ("html", "body", "div", "section", "p", "span", "ul", "ol", "li", "dl", "dt", "dd", "table", "thead", "tbody",
@@ -48,6 +50,9 @@ WORD_WEIGHT, TAG_WEIGHT, FRAME_WEIGHT = 1.0, -0.02, -0.25
 # A word in the frame is left out of the text; its weight is small so that a notice within the content
 # does not cut off what follows it.
 FRAME_SHARE = 0.03  # of its log odds, that a word weighs below a key seen outside the content
+# A wrapper holds over half of a page's words, and outside it and the other parts of the frame stand fewer than
+# this share of its own. A content element counts against the frame around it from this share of the page's words.
+OUTSIDE_SHARE, CONTENT_SHARE = 0.1, 0.2
 LINK_SHARE = 0.3  # of its log odds, that a tag costs which stands outside the content
 
 
@@ -60,12 +65,29 @@ def tag_keys(name: str, tag: str) -> list:
     return keys
 
 
+class Element:
+    """An open element: the one around it, its keys, and how many of the page's words it holds."""
+
+    __slots__ = ("around", "keys", "depth", "words", "plain", "own", "framed", "weight")
+
+    def __init__(self, around, keys: list):
+        self.around, self.keys, self.depth = around, keys, around.depth + 1 if around else 0
+        self.words = self.plain = 0  # plain: those outside all parts of the frame
+        self.weight = None
+
+    def outwards(self):
+        element = self
+        while element is not None:
+            yield element
+            element = element.around
+
+
 def tokens(page: str):
     """The page as (kind, value, context): kind "text" with decoded text, "block" or "inline" for tags.
 
-    ``context`` is the set of keys of the elements around. Text in hidden elements is left out.
+    ``context`` is the innermost element around, or None. Text in hidden elements is left out.
     """
-    stack, context = [], ()
+    stack, context = [], None
     position, size = 0, len(page)
     while position < size:
         match = TOKEN.match(page, position)
@@ -86,7 +108,7 @@ def tokens(page: str):
                     if name in INLINE and any(k[0] not in INLINE for k in stack[depth + 1:]):
                         break
                     del stack[depth:]
-                    context = stack[-1][1] if stack else ()
+                    context = stack[-1][1] if stack else None
                     break
         else:
             keys = tag_keys(name, piece)
@@ -97,14 +119,14 @@ def tokens(page: str):
                         break
                     if stack[depth][0] not in INLINE and stack[depth][0] != "p":
                         break
-                context = stack[-1][1] if stack else ()
+                context = stack[-1][1] if stack else None
             if name in RAW:
                 end = RAW_END[name].search(page, position)
                 if end is None:
                     return
                 position = end.start()
             if name not in VOID and not piece.endswith("/>"):
-                context = context + tuple(k for k in keys if k not in context)
+                context = Element(context, keys)
                 stack.append((name, context))
             yield "inline" if name in INLINE else "block", keys, context
             continue
@@ -117,28 +139,74 @@ class Weights:
     def __init__(self, keys: dict | None = None, tags: dict | None = None):
         self.keys = keys or {}
         self.tags = tags or {}
-        self.cache: dict = {}
 
     def tag(self, name: str) -> float:
         return self.tags.get(name, TAG_WEIGHT)
 
-    def word(self, context: tuple) -> float:
-        """The least weight of the elements around decides; a part of the frame named so stays one."""
-        if context not in self.cache:
-            named = [FRAME_WEIGHT for k in context if k in BOILERPLATE or (k[0] == "." and FRAME_NAMES.match(k[1:]))]
-            learnt = [self.keys[k] for k in context if k in self.keys]
-            self.cache[context] = min(named + learnt, default=WORD_WEIGHT)
-        return self.cache[context]
+    def own(self, element: Element) -> float | None:
+        """The least weight that an element's own keys give it; None when they say nothing.
+
+        What labelled pages say of a name goes before the name itself. ``html`` and ``body`` say nothing.
+        """
+        if element.keys[0] in ("html", "body"):
+            return None
+        named = [FRAME_WEIGHT for k in element.keys
+                 if k in BOILERPLATE or (k[0] == "." and k not in self.keys and FRAME_NAMES.match(k[1:]))]
+        return min(named + [w for k in element.keys if (w := self.keys.get(k, 0)) < 0], default=None)
+
+    def place(self, texts: list) -> None:
+        """Set the weight of the elements around ``texts``, pairs of an element (or None) and a word count.
+
+        The nearest element that decides counts: a part of the frame, or a content element with
+        enough of the page's words. A wrapper around the page is no part of the frame, whatever its name.
+        """
+        seen, total, plain = set(), 0, 0
+        for context, _ in texts:
+            for e in context.outwards() if context else ():
+                if e in seen:
+                    break
+                seen.add(e)
+        elements = sorted(seen, key=lambda e: e.depth)
+        for e in elements:
+            e.own = self.own(e)
+            e.framed = e.own is not None or (e.around is not None and e.around.framed)
+        for context, n in texts:
+            total += n
+            framed = context is not None and context.framed
+            plain += 0 if framed else n
+            if context is not None:
+                context.words += n
+                context.plain += 0 if framed else n
+        for e in reversed(elements):
+            if e.around is not None:
+                e.around.words += e.words
+                e.around.plain += e.plain
+
+        def decides(e):
+            if e.own is not None:
+                strict = e.keys[0] in BOILERPLATE and e.keys[0] not in WRAPPERS
+                if strict or 2 * e.words <= total or plain - e.plain >= OUTSIDE_SHARE * e.words:
+                    return e.own
+            return WORD_WEIGHT if e.keys[0] in CONTENT and e.words >= CONTENT_SHARE * total else None
+
+        for e in elements:
+            e.weight = decides(e)
+            if e.weight is None:
+                e.weight = WORD_WEIGHT if e.around is None else e.around.weight
 
 
 def main_text(page: str | None, weights: Weights) -> str:
     """The text of the best run; null, empty and wordless pages have none."""
+    found = list(tokens(page or ""))
+    sizes = [len(value.split()) if kind == "text" else 0 for kind, value, _ in found]
+    weights.place([(context, n) for (_, _, context), n in zip(found, sizes) if n])
     pieces, scores = [], []
-    for kind, value, context in tokens(page or ""):
+    for (kind, value, context), n in zip(found, sizes):
         if kind == "text":
-            weight = weights.word(context)
+            # White space in an element without words of its own weighs nothing and stays.
+            weight = WORD_WEIGHT if context is None or context.weight is None else context.weight
             pieces.append(value if weight > 0 else None)
-            scores.append(weight * len(value.split()))
+            scores.append(weight * n)
         else:
             pieces.append(" " if kind == "block" else "")
             scores.append(weights.tag(value[0]))
@@ -156,17 +224,19 @@ def learn_weights(pages: list) -> Weights:
     """Weights from labelled pages: those whose own markup names the content (article or main).
 
     A key's weight is the log odds of a word below it being content, against all words of the
-    labelled pages; a tag's cost grows with its odds of standing outside. The keys that name the
+    labelled pages; one whose words are mostly content is no part of the frame, whatever its name. A
+    tag's cost grows with its odds of standing outside. The keys that name the
     content label it and are no evidence, nor are elements that hold anything.
     """
     words, tags = ({}, {}), ({}, {})
     for page in pages:
         for kind, value, context in tokens(page or ""):
-            side = not any(k in CONTENT for k in context)
+            keys = {k for e in context.outwards() for k in e.keys} if context else ()
+            side = not any(k in CONTENT for k in keys)
             if kind != "text":
                 tags[side][value[0]] = tags[side].get(value[0], 0) + 1
             elif n := len(value.split()):
-                for key in context:
+                for key in keys:
                     words[side][key] = words[side].get(key, 0) + n
 
     def odds(counts, key):
@@ -174,7 +244,8 @@ def learn_weights(pages: list) -> Weights:
 
     known = (words[0].keys() | words[1].keys()).difference(CONTENT, NEUTRAL, INLINE)
     costly = (tags[0].keys() | tags[1].keys()).difference(CONTENT, NEUTRAL)
-    return Weights({k: max(FRAME_SHARE * odds(words, k), FRAME_WEIGHT) for k in known if odds(words, k) < -1},
+    keys = {k: max(FRAME_SHARE * odds(words, k), FRAME_WEIGHT) for k in known if odds(words, k) < -1}
+    return Weights(keys | {k: WORD_WEIGHT for k in known if k[0] == "." and odds(words, k) > 1},
                    {k: TAG_WEIGHT + LINK_SHARE * max(odds(tags, k), -2.0) for k in costly if odds(tags, k) < -1})
 
 
