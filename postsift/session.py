@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,7 +54,36 @@ def shared_dir(spark: SparkSession, name: str) -> str:
             raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors can reach")
         base = tempfile.mkdtemp(prefix="postsift-")
         context.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    for made in _OPEN:
+        made.append(path)
+    return path
+
+
+_OPEN: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Remove the shared folders made inside, once the block is left.
+
+    For whoever writes a final result: whatever was staged on the way to it goes with the block. A
+    folder that must stay is named (``shared_dir``) before the block.
+    """
+    made: list[str] = []
+    _OPEN.append(made)
+    try:
+        yield
+    finally:
+        _OPEN.pop()
+        for path in made:
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared store; one that isn't there is no error."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
