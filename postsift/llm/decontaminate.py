@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postsift.llm.text import SHINGLE_WORDS, blocks, flat, lowered, mix, shingle_hashes, word_hashes, words
-from postsift.session import staged
 
 CONTAINMENT = 0.8
 HASHES = 48
@@ -95,24 +94,27 @@ class ItemIndex:
 FOUND = "doc_id long, item_id long, n_shingles long, n_found long, containment double"
 
 
+def _held(index: ItemIndex, texts, containment: float):
+    """Yield (row, item_id, n_shingles, n_found) for every text that holds an item."""
+    last, held = None, set()
+    for row, item in index.candidates(*text_shingles(texts)).tolist():
+        if row != last:
+            last, held = row, shingle_set(texts[row].as_py())
+        item_id, wanted = index.items[item]
+        common = len(wanted & held)
+        if common >= containment * len(wanted):
+            yield row, item_id, len(wanted), common
+
+
 def _block(docs: DataFrame, items: list, containment: float) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(ItemIndex(items))
 
     def search(batches):
-        index = shared.value
         for whole in batches:
             for batch in blocks(whole, "text"):
-                rows = []
                 keys = batch.column("doc_id")
-                pairs = index.candidates(*text_shingles(batch.column("text")))
-                last, held = None, set()
-                for row, item in pairs.tolist():
-                    if row != last:
-                        last, held = row, shingle_set(batch.column("text")[row].as_py())
-                    item_id, wanted = index.items[item]
-                    common = len(wanted & held)
-                    if common >= containment * len(wanted):
-                        rows.append((keys[row].as_py(), item_id, len(wanted), common, common / len(wanted)))
+                rows = [(keys[row].as_py(), item_id, n, common, common / n)
+                        for row, item_id, n, common in _held(shared.value, batch.column("text"), containment)]
                 if rows:
                     types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64())
                     names = ("doc_id", "item_id", "n_shingles", "n_found", "containment")
@@ -121,6 +123,32 @@ def _block(docs: DataFrame, items: list, containment: float) -> DataFrame:
     return docs.mapInArrow(search, FOUND)
 
 
+def _without(docs: DataFrame, items: list, containment: float) -> DataFrame:
+    """``docs`` without the rows that hold one of ``items``, left out in the task that finds them."""
+    shared = docs.sparkSession.sparkContext.broadcast(ItemIndex(items))
+
+    def drop(batches):
+        for whole in batches:
+            for batch in blocks(whole, "text"):
+                stays = np.ones(batch.num_rows, bool)
+                stays[[row for row, *_ in _held(shared.value, batch.column("text"), containment)]] = False
+                yield batch.filter(pa.array(stays))
+
+    return docs.mapInArrow(drop, docs.schema)
+
+
+def _item_blocks(items: DataFrame, block_bytes: int):
+    """The different item texts, lowered and with single spaces, as lists of (item_id, text) of bounded size."""
+    body = F.array_join(F.filter(F.split(F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"),
+                                         "[\\x20\\x09-\\x0D]+"), lambda w: w != ""), " ")
+    known = items.where("text is not null").groupBy(body.alias("body")).agg(F.min("item_id").alias("item_id")).where("body != ''")
+    size = known.agg(F.coalesce(F.sum(F.octet_length("body")), F.lit(0))).first()[0]
+    n_blocks = max(1, math.ceil(size / block_bytes))
+    for number in range(n_blocks):
+        some = known.where(F.pmod(F.xxhash64("body"), F.lit(n_blocks)) == number)
+        yield sorted(tuple(r) for r in some.select("item_id", "body").collect())
+
+
 def leaks(docs: DataFrame, items: DataFrame, containment: float = CONTAINMENT,
           block_bytes: int = ITEM_BLOCK_BYTES) -> DataFrame:
     """Pairs (doc_id, item_id, n_shingles, n_found, containment) of documents that hold an item.
@@ -134,28 +162,20 @@ def leaks(docs: DataFrame, items: DataFrame, containment: float = CONTAINMENT,
     Only items travel to the tasks, at most about ``block_bytes`` of text at a time: a larger
     benchmark is searched for in several passes over the documents.
     """
-    body = F.array_join(F.filter(F.split(F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"),
-                                         "[\\x20\\x09-\\x0D]+"), lambda w: w != ""), " ")
-    known = items.where("text is not null").groupBy(body.alias("body")).agg(F.min("item_id").alias("item_id")).where("body != ''")
-    size = known.agg(F.coalesce(F.sum(F.octet_length("body")), F.lit(0))).first()[0]
-    n_blocks = max(1, math.ceil(size / block_bytes))
     docs = docs.select("doc_id", "text")
-    parts = []
-    for number in range(n_blocks):
-        some = known.where(F.pmod(F.xxhash64("body"), F.lit(n_blocks)) == number)
-        parts.append(_block(docs, sorted(tuple(r) for r in some.select("item_id", "body").collect()), containment))
+    parts = [_block(docs, some, containment) for some in _item_blocks(items, block_bytes)]
     out = parts[0]
     for part in parts[1:]:
         out = out.union(part)
     return out
 
 
-def clean(docs: DataFrame, items: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
-    """``docs`` without the rows whose text holds an item.
+def clean(docs: DataFrame, items: DataFrame, containment: float = CONTAINMENT, block_bytes: int = ITEM_BLOCK_BYTES) -> DataFrame:
+    """``docs`` without the rows whose text holds an item (see ``leaks``).
 
-    The search runs over a row number in place of doc_id, so repeated and null ids don't matter.
+    The tasks that find such a row leave it out, so nothing is shuffled or written in between;
+    repeated rows and null doc_ids are rows like any other.
     """
-    numbered = staged(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
-    bad = leaks(numbered.select(F.col("__row").alias("doc_id"), "text"), items, containment)
-    return numbered.join(bad.select(F.col("doc_id").alias("__row")).distinct(), "__row", "left_anti").select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+    for some in _item_blocks(items, block_bytes):
+        docs = _without(docs, some, containment)
+    return docs

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postsift.llm.text import blocks, flat, lowered, shingle_hashes, word_hashes, words
-from postsift.session import staged
+from postsift.session import scratch, shared_dir, staged
 
 RADIUS = 3
 SHINGLE = 3
@@ -234,8 +234,8 @@ SIMILAR = (4, 5)
 WIDE = 20
 # Shards: MATCHING minima of the shingle hashes together. 16 shards miss a pair of similarity 0.8 once in 4500.
 MATCHING, SHARDS = 4, 16
-# Links of a node that each tree gives to be checked, besides those that join the tree.
-NEAREST = 8
+# Documents and bytes of text in one verifying tree; a larger shard is held by several, each met by all.
+FULL_TREE, FULL_BYTES = 2048, 64 << 20
 _FACTORS = np.random.default_rng(11).integers(0, 1 << 63, MATCHING * SHARDS, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -265,13 +265,20 @@ def shingle_sets(column):
         yield np.unique(hashes[bounds[i]: bounds[i + 1]])
 
 
-MARKS = [T.StructField("__same", T.BinaryType()), T.StructField("__print", T.LongType()),
-         T.StructField("__keys", T.ArrayType(T.LongType()))]
+# A row is known by its doc_id (0 for null, which ``none`` tells) and two hashes of its text: values
+# that Spark works out wherever the row is read.
+ROW = ["none", "id", "text_a", "text_b"]
+MARKS = "none boolean, id long, text_a long, text_b long, size long, same binary, print long, keys array<long>"
+
+
+def known_by(text="text", key="doc_id") -> list:
+    return [F.col(key).isNull().alias("none"), F.coalesce(F.col(key).cast("long"), F.lit(0).cast("long")).alias("id"),
+            F.xxhash64(text).alias("text_a"), F.xxhash64(text, F.lit(1)).alias("text_b")]
 
 
 def add_marks(docs: DataFrame) -> DataFrame:
-    """``docs`` with a digest of the shingle set, its SimHash and its shard keys."""
-    names = docs.columns + [f.name for f in MARKS]
+    """Per row: what it is known by, a digest of its shingle set, the SimHash and the shard keys."""
+    names = [part.split()[0] for part in MARKS.split(", ")]
 
     def add(batches):
         for whole in batches:
@@ -282,100 +289,162 @@ def add_marks(docs: DataFrame) -> DataFrame:
                     prints.append(simhash(own))
                     keys.append(shard_keys(own))
                 made = [pa.array(same, pa.binary()), pa.array(prints, pa.int64()), pa.array(keys, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(batch.columns + made, names=names)
+                yield pa.RecordBatch.from_arrays([batch.column(c) for c in names[:5]] + made, names=names)
 
-    return docs.mapInArrow(add, T.StructType(docs.schema.fields + MARKS))
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("size")
+    return docs.select(*known_by(), size, "text").mapInArrow(add, MARKS)
 
 
-def forest(n: int, a: np.ndarray, b: np.ndarray, gap: np.ndarray) -> np.ndarray:
-    """Places of the pairs that join ``n`` members with the least gaps (Boruvka's spanning forest)."""
-    label, chosen = np.arange(n), []
-    left = np.lexsort((np.arange(len(a)), gap))
-    while True:
-        x, y = label[a[left]], label[b[left]]
-        left, x, y = (v[x != y] for v in (left, x, y))
-        if not len(left):
-            return np.concatenate(chosen) if chosen else np.empty(0, np.int64)
-        first = np.full(n, len(left))
-        np.minimum.at(first, x, np.arange(len(left)))
-        np.minimum.at(first, y, np.arange(len(left)))
-        picked = left[np.unique(first[first < len(left)])]
-        chosen.append(picked)
-        unite(label, a[picked], b[picked])
-
-
-def worth_checking(n: int, a: np.ndarray, b: np.ndarray, gap: np.ndarray) -> np.ndarray:
-    """Places of the pairs among the NEAREST of either end, and of those that ``forest`` takes."""
-    ends, pair = np.concatenate([a, b]), np.tile(np.arange(len(a)), 2)
-    order = np.lexsort((gap[pair], ends))
-    ranked = ends[order]
-    near = np.arange(len(order)) - np.searchsorted(ranked, ranked) < NEAREST
-    return np.union1d(pair[order[near]], forest(n, a, b, gap))
-
-
-def _candidates(batches):
-    """Rows (shard, member, node, print) sorted by shard, members first: the links worth checking."""
-    held_shard, held, held_node = np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64)
-    for batch in batches:
-        shard = np.concatenate([held_shard, batch.column("shard").to_numpy()])
-        prints = np.concatenate([held, batch.column("print").to_numpy().view(np.uint64)])
-        node = np.concatenate([held_node, batch.column("node").to_numpy()])
-        member = np.concatenate([np.ones(len(held), bool), batch.column("member").to_numpy(zero_copy_only=False) == 0])
-        if not len(shard):
-            continue
-        inside = np.flatnonzero(member)
-        asking = np.arange(len(held), len(prints))
-        trees = build_trees(prints[inside], shard[inside])
-        best = [np.empty(0, np.int64)] * 3
-        for q, v in search_trees(trees, prints[inside], prints[asking], shard[asking], WIDE, 512):
-            a, b = asking[q], inside[v]
-            once = a > b  # members meet one another twice
-            a, b = a[once], b[once]
-            best = [np.concatenate(pair) for pair in zip(best, (a, b, np.bitwise_count(prints[a] ^ prints[b]).astype(np.int64)))]
-            if len(best[0]) > 1 << 20:
-                kept = worth_checking(len(prints), *best)
-                best = [x[kept] for x in best]
-        kept = worth_checking(len(prints), *best)
-        yield pa.RecordBatch.from_arrays([pa.array(node[x[kept]]) for x in best[:2]], names=["a", "b"])
-        open_ = member & (shard == shard[-1])
-        held_shard, held, held_node = shard[open_], prints[open_], node[open_]
-
+def _bits(sets: list, known: np.ndarray) -> np.ndarray:
+    """Which of the ``known`` shingles each set holds, as rows of 64-bit words."""
+    width = -(-max(1, len(known)) // 64) * 64
+    out = np.zeros((len(sets), width // 64), np.uint64)
+    for i, own in enumerate(sets):
+        at = np.searchsorted(known, own)
+        at = at[(at < len(known)) & (known[np.minimum(at, len(known) - 1)] == own)] if len(known) else at[:0]
+        row = np.zeros(width, np.uint8)
+        row[at] = 1
+        out[i] = np.packbits(row, bitorder="little").view(np.uint64)
+    return out
 
-def candidates(nodes: DataFrame, tree_size: int = TREE_SIZE) -> DataFrame:
-    """Links (a, b) between ``node``s that share a shard of ``keys`` and differ in at most WIDE bits of ``print``.
 
-    Each shard is a BK-tree, a large one several as in ``links``. Of the pairs in a tree each node's
-    nearest are given and those that join the tree with the least differences, never all.
+def similar_pairs(bits_a, size_a, bits_b, size_b):
+    """Whether each pair of sets, given as bit rows and sizes, is similar."""
+    common = np.bitwise_count(bits_a & bits_b).sum(1, dtype=np.int64)
+    part, whole = SIMILAR
+    return whole * common >= part * (size_a + size_b - common)
+
+
+def _unite_shard(label, inside, asking, prints, sets):
+    """Merge the classes in ``label`` of all similar pairs of asking and inside rows within WIDE bits."""
+    known, times = np.unique(np.concatenate([sets[i] for i in inside]), return_counts=True)
+    others = [sets[i] for i in np.setdiff1d(asking, inside)]
+    met = np.isin(known, np.concatenate(others)) if others else np.zeros(len(known), bool)
+    known = known[(times > 1) | met]  # no other shingle can be common to a pair
+    bits, sizes = _bits([sets[i] for i in inside], known), np.array([len(sets[i]) for i in inside])
+    own = np.zeros(len(inside), np.int64)
+    trees = build_trees(prints[inside], own)
+    for start in range(0, len(asking), 256):
+        some = asking[start: start + 256]
+        some_bits, some_sizes = _bits([sets[i] for i in some], known), np.array([len(sets[i]) for i in some])
+        for q, v in search_trees(trees, prints[inside], prints[some], np.zeros(len(some), np.int64), WIDE, 256):
+            for at in range(0, len(q), 4096):
+                qq, vv = q[at: at + 4096], v[at: at + 4096]
+                open_ = label[some[qq]] != label[inside[vv]]
+                qq, vv = qq[open_], vv[open_]
+                good = similar_pairs(some_bits[qq], some_sizes[qq], bits[vv], sizes[vv])
+                unite(label, some[qq[good]], inside[vv[good]])
+
+
+def _verify(batches):
+    """Rows (shard, member, node, root, print, text) sorted by shard, members first: links between roots."""
+    held = None
+    for whole in batches:
+        for batch in blocks(whole, "text", FULL_BYTES):
+            sets = list(shingle_sets(batch.column("text")))
+            shard, member, node, root = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("shard", "member", "node", "root"))
+            prints, member = batch.column("print").to_numpy().view(np.uint64), member == 0
+            n_held = 0
+            if held is not None:
+                n_held = len(held[0])
+                shard, node, root, prints = (np.concatenate(pair) for pair in zip(held[:4], (shard, node, root, prints)))
+                member, sets = np.concatenate([np.ones(n_held, bool), member]), held[4] + sets
+            _, first, which = np.unique(np.stack([shard, root]), axis=1, return_index=True, return_inverse=True)
+            start = first[which.ravel()]
+            label = start.copy()
+            cuts = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1], [True]]))
+            for low, high in zip(cuts[:-1], cuts[1:]):
+                here = np.arange(low, high)
+                inside, asking = here[member[low:high]], here[here >= n_held]
+                if len(inside) and len(asking) and (start[here] != start[low]).any():
+                    _unite_shard(label, inside, asking, prints, sets)
+            moved = np.flatnonzero((start == np.arange(len(label))) & (label != start))
+            yield pa.RecordBatch.from_arrays([pa.array(root[moved]), pa.array(root[label[moved]])], names=["a", "b"])
+            open_ = np.flatnonzero(member & (shard == shard[-1]))
+            held = (shard[open_], node[open_], root[label[open_]], prints[open_], [sets[i] for i in open_])
+
+
+def _trees(texts: DataFrame, placed: DataFrame, tree_size, tree_bytes) -> DataFrame:
+    """(key, trees) of the shards that take more than one tree."""
+    held = placed.join(texts.select("node", "size"), "node").groupBy("key").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
+    return held.select("key", F.greatest(F.ceil(F.col("n") / tree_size), F.ceil(F.col("bytes") / tree_bytes)).alias("trees")).where("trees > 1")
+
+
+def verified_links(texts: DataFrame, placed: DataFrame, across=True, tree_size=FULL_TREE, tree_bytes=FULL_BYTES) -> DataFrame:
+    """Links (a, b) between classes whose members are similar.
+
+    ``texts`` has node, print, size and text, ``placed`` has (node, key, root): a node's shards and the
+    class it is in so far. A shard of many documents, or much text, is held by several BK-trees; with
+    ``across`` each document also meets the trees before its own. Inside a tree, pairs of different
+    classes within WIDE bits are compared by their whole shingle sets, and similar ones join
+    their classes at once, so only links between classes leave the task.
     """
-    keyed = nodes.select("node", "print", F.explode("keys").alias("key"))
-    large = (keyed.groupBy("key").count().where(F.col("count") > tree_size)
-             .select("key", F.ceil(F.col("count") / tree_size).alias("trees")))
     own = F.pmod(F.xxhash64("node"), F.coalesce("trees", F.lit(1)))
-    placed = keyed.join(large, "key", "left").withColumn("own", own)
-    tiles = placed.select("node", "print", "key", "own", F.explode(F.sequence(F.lit(0).cast("long"), "own")).alias("tile"))
-    shards = tiles.select(
-        F.xxhash64("key", "tile").alias("shard"),
-        F.when(F.col("tile") == F.col("own"), 0).otherwise(1).alias("member"), "node", "print")
-    dealt = shards.repartition("shard").sortWithinPartitions("shard", "member")
-    pairs = dealt.mapInArrow(_candidates, EDGE)
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The ``pairs`` (a, b) whose shingle sets are similar; ``texts`` has node and text."""
-    def sets(batches):
-        for whole in batches:
-            for batch in blocks(whole, "text"):
-                own = pa.array([s.view(np.int64) for s in shingle_sets(batch.column("text"))], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([batch.column("node"), own], names=["node", "shingles"])
-
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    held = staged(texts.join(ends, "node", "left_semi").select("node", "text").mapInArrow(
-        sets, "node long, shingles array<long>"), "shingles")
-    met = pairs.join(held.toDF("a", "sa"), "a").join(held.toDF("b", "sb"), "b").select(
-        "a", "b", F.size(F.array_intersect("sa", "sb")).alias("common"), (F.size("sa") + F.size("sb")).alias("both"))
-    part, whole = SIMILAR
-    return met.where(whole * F.col("common") >= part * (F.col("both") - F.col("common"))).select("a", "b")
+    tiles = F.explode(F.sequence(F.lit(0).cast("long"), "own")) if across else F.col("own")
+    tiled = placed.join(_trees(texts, placed, tree_size, tree_bytes), "key", "left").withColumn("own", own).select(
+        "node", "root", "key", "own", tiles.alias("tile"))
+    shards = tiled.select("node", "root", F.xxhash64("key", "tile").alias("shard"),
+                          F.when(F.col("tile") == F.col("own"), 0).otherwise(1).alias("member"))
+    dealt = shards.join(texts.select("node", "print", "text"), "node").select(
+        "shard", "member", "node", "root", "print", "text").repartition("shard").sortWithinPartitions("shard", "member")
+    return dealt.mapInArrow(_verify, EDGE)
+
+
+def _crowded(placed: DataFrame) -> DataFrame:
+    """Of ``placed`` (node, key, root) the shards that hold several classes, each set of nodes once."""
+    hashed = F.xxhash64("node")
+    shards = placed.groupBy("key").agg(
+        F.count("*").alias("n"), F.bit_xor(hashed).alias("x"), F.sum(F.shiftright(hashed, 20)).alias("y"),
+        F.min("root").alias("least"), F.max("root").alias("most")).where("least < most")
+    kept = shards.groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key")
+    return placed.join(kept, "key", "left_semi")
+
+
+def leaders(docs: DataFrame, tree_size=FULL_TREE, tree_bytes=FULL_BYTES) -> DataFrame:
+    """The row that stays of each group: none, id, text_a, text_b, and how many rows are just like it (copies).
+
+    Rows of equal shingle sets are one node. A node first meets those of its largest shard. Then, in
+    shards of several trees, one node of each class meets those of other classes, again and again
+    while that leaves fewer classes, so a very large group of copies is one class before its trees are
+    paired. At last all shards that still hold several classes are gone through whole: the result is
+    that of checking every pair that shares a shard and is within WIDE bits, however rows are dealt.
+    """
+    spark = docs.sparkSession
+    path = shared_dir(spark, "leaders")
+    with scratch(spark):
+        marks = staged(add_marks(docs), "marks")
+        rows = marks.groupBy("same", *ROW).agg(F.count("*").alias("copies"), F.first("print").alias("print"),
+                                               F.first("size").alias("size"), F.first("keys").alias("keys"))
+        first = F.min(F.struct(*ROW, "copies", "size")).alias("first")
+        nodes = staged(rows.groupBy("same").agg(first, F.first("print").alias("print"), F.first("keys").alias("keys")).select(
+            F.monotonically_increasing_id().alias("node"), "first", "print", "keys"), "nodes")
+        keyed = nodes.select("node", F.explode("keys").alias("key"))
+        many = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+        shared = staged(keyed.join(many, "key"), "shared")
+        best = shared.groupBy("node").agg(F.max_by("key", F.struct("n", "key")).alias("key"))
+        wanted = best.select("node").join(nodes, "node").select("node", "print", "first.size", *[F.col(f"first.{c}") for c in ROW])
+        found = docs.select(*known_by(), "text").join(wanted, ROW)
+        texts = staged(found.groupBy(*ROW).agg(F.first(F.struct("node", "print", "size", "text")).alias("row")).select("row.*"), "texts")
+
+        def placed_by(links):
+            roots = components(links)
+            return roots, staged(shared.join(roots, "node", "left").select("node", "key", F.coalesce("root", "node").alias("root")), "placed")
+
+        links_ = staged(verified_links(texts, best.withColumn("root", F.col("node")), False, tree_size, tree_bytes), "links")
+        before = None
+        while True:
+            roots, placed = placed_by(links_)
+            large = placed.join(_trees(texts, placed, tree_size, tree_bytes), "key", "left_semi")
+            ones = staged(_crowded(large.groupBy("key", "root").agg(F.min("node").alias("node"))), "ones")
+            n = ones.count()
+            if not n or (before is not None and 4 * n > 3 * before):
+                break
+            before = n
+            links_ = staged(links_.union(verified_links(texts, ones, False, tree_size, tree_bytes)), "links")
+        roots = components(links_.union(verified_links(texts, _crowded(placed), True, tree_size, tree_bytes)))
+        groups = nodes.join(roots, "node", "left").groupBy(F.coalesce("root", "node")).agg(F.min("first").alias("first"))
+        groups.select(*[F.col(f"first.{c}") for c in (*ROW, "copies")]).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
@@ -383,21 +452,12 @@ def keep_first(docs: DataFrame) -> DataFrame:
 
     Two rows are linked when their sets of five-word shingles (letters lowered; all words where
     there are fewer) have a similarity of 0.8 or more, checked on the sets; groups are what
-    links connect. Rows of equal sets go together first; BK-trees over the SimHashes of those
-    that share minima find the links to check. Null and empty texts are one group.
+    links connect. Null and empty texts are one group, null doc_ids come last. BK-trees over the
+    SimHashes of rows that share minima find the pairs to check, and all of them are checked.
     """
     kept = docs.columns
-    marks = [f.name for f in MARKS]
-    inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("__doc"), "doc_id", "text",
-                        F.monotonically_increasing_id().alias("__row"))
-    tagged = staged(add_marks(inner), "fingerprinted")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col("__row").alias("node")))
-    # One node for each shingle set: the first of its rows.
-    nodes = tagged.groupBy("__same").agg(first.alias("first"), *[F.min(c).alias(c) for c in marks[1:]])
-    nodes = staged(nodes.select(F.col("first.node").alias("node"), "first", F.col("__print").alias("print"),
-                                F.col("__keys").alias("keys")), "nodes")
-    pairs = staged(candidates(nodes), "candidates")
-    roots = components(verified(pairs, tagged.select(F.col("__row").alias("node"), "text")))
-    placed = nodes.join(roots, "node", "left").select(F.coalesce("root", "node").alias("root"), "first")
-    firsts = placed.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.node").alias("__row"))
-    return tagged.join(firsts, "__row", "left_semi").select(*[F.col(f"__doc.`{c}`").alias(c) for c in kept])
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("doc"), *known_by())
+    found = rows.join(leaders(docs), ROW)
+    alone = found.where("copies = 1").select("doc")
+    again = found.where("copies > 1").groupBy(*ROW).agg(F.first("doc").alias("doc")).select("doc")
+    return alone.union(again).select(*[F.col(f"doc.`{c}`").alias(c) for c in kept])

@@ -5,6 +5,7 @@ import pytest
 import corpus_pipeline
 from postsift.llm import (chat, decontaminate, html_text, lang_id, line_quality, lm_score, near_dup, packing, queries,
                           secret_scan, token_files)
+from test_near_copies import brute
 
 LONG = "The long text goes on and on with token = \"0123456789abcdef0123456789\" in it.\n" * 4000
 ROWS = [(1, None, None, None, None), (2, "", "en", "s", 0), (3, "Some words of a text.", "en", "s", 21),
@@ -76,6 +77,10 @@ def test_leaks_without_items_or_documents(spark, docs):
     assert sorted(tuple(r)[:2] for r in decontaminate.leaks(docs, items).collect()) == [(3, 1), (3, 1)]
     assert decontaminate.leaks(docs, items.limit(0)).collect() == [] == decontaminate.leaks(docs.limit(0), items).collect()
     assert decontaminate.clean(docs, items).count() == len(ROWS) - 2
+    assert decontaminate.clean(docs, items.limit(0)).count() == len(ROWS)
+    more = items.unionByName(spark.createDataFrame([(5, "Ein Wort und noch eins."), (6, "nowhere to be found")], items.schema))
+    got = decontaminate.clean(docs, more, block_bytes=20)
+    assert got.columns == docs.columns and got.count() == len(ROWS) - 3
 
 
 def test_secrets_are_masked(spark, docs):
@@ -100,7 +105,8 @@ def test_stages(spark, sf_dir, tmp_path):
     before, after = made["quality_rules"]
     assert keys(after) == keys(line_quality.report(before).where("kept"))
     before, after = made["near_duplicates"]
-    assert keys(after) == keys(near_dup.near_dups(before).where("doc_id = component_id"))
+    rows = before.orderBy("doc_id").collect()
+    assert keys(after) == sorted({rows[i].doc_id for i in brute([r.text for r in rows])[0]})
     before, after = made["benchmark_passages"]
     leaked = decontaminate.leaks(before, queries.table(spark, sf_dir, "benchmark")).select("doc_id")
     assert keys(after) == keys(before.join(leaked, "doc_id", "left_anti"))
