@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from postsift.llm import decontaminate, line_quality, near_dup, packing, secret_scan
 from postsift.llm.queries import table, tokenizer
-from postsift.session import shared_dir
+from postsift.session import remove, scratch, shared_dir
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,10 +52,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each stage's result is written as Parquet and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``; each stage's result is written as Parquet and read again.
+
+    What a stage wrote on its way is removed when its result is written, and that result when the
+    next one is.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = shared_dir(spark, f"stage-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            remove(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
