@@ -135,6 +135,15 @@ def batch_requests(leads: DataFrame, size=BATCH_SIZE) -> DataFrame:
     )
 
 
+def _once(rows: DataFrame, value: Column, name: str) -> DataFrame:
+    """``rows`` with ``value`` worked out once per row.
+
+    A filter or a second use over a plain projection would carry a copy of the whole expression; the
+    optimizer doesn't look into the generator of a one-element list.
+    """
+    return rows.select("*", F.explode(F.array(value)).alias(name))
+
+
 def score_fields(value: Column) -> list[Column]:
     return [
         js.field_or(value, "score", "int", DEFAULT_SCORE).alias("signal_score"),
@@ -148,12 +157,12 @@ def parse_score_answers(answers: DataFrame) -> DataFrame:
 
     Anything but a JSON object leaves the three fields NULL and asks for a retry.
     """
-    parsed = answers.withColumn("extracted", js.extract_json(F.col("raw")))
-    parsed = parsed.withColumn("_value", js.parse_json(F.col("extracted")))
+    bare = answers.drop("extracted", "_value", "signal_score", "signal_type", "category", "needs_retry")
+    parsed = _once(_once(bare, js.extract_json(F.col("raw")), "extracted"), js.parse_json(F.col("extracted")), "_value")
     good = js.is_object(F.col("_value"))
     fields = [F.when(good, c).alias(n) for c, n in zip(
         score_fields(F.col("_value")), ("signal_score", "signal_type", "category"))]
-    return parsed.select(*answers.columns, "extracted", *fields, (~good).alias("needs_retry"))
+    return parsed.select(*bare.columns, "extracted", *fields, (~good).alias("needs_retry"))
 
 
 def quarantined_scores(parsed: DataFrame) -> DataFrame:
@@ -179,8 +188,8 @@ def parse_batch_answers(batch_answers: DataFrame) -> DataFrame:
     Usable is an array of objects. An empty object or text has no items and is usable too: its
     leads simply stay unscored. Ids must be JSON text.
     """
-    value = js.parse_json(js.extract_json(F.col("raw")))
-    parsed = batch_answers.select("batch_no", value.alias("_value"))
+    extracted = _once(batch_answers.select("batch_no", "raw"), js.extract_json(F.col("raw")), "_text")
+    parsed = _once(extracted, js.parse_json(F.col("_text")), "_value").select("batch_no", "_value")
     kind = F.schema_of_variant("_value")
     items = js.items(F.col("_value"))
     all_objects = F.coalesce(F.forall(items, js.is_object), F.lit(False))
@@ -259,8 +268,8 @@ def apply_worthiness(leads: DataFrame, answers: DataFrame | None) -> DataFrame:
     if answers is None:
         return leads.withColumns({
             "comment_worthy": F.lit(True), "comment_worthy_reason": F.lit(REASON_OFF)})
-    text = js.extract_json(F.col("raw"))
-    parsed = one_answer(answers, "seq").select("seq", text.alias("_text")).withColumn("_value", js.parse_json(F.col("_text")))
+    parsed = _once(one_answer(answers, "seq").select("seq", "raw"), js.extract_json(F.col("raw")), "_text")
+    parsed = _once(parsed, js.parse_json(F.col("_text")), "_value")
     value = F.col("_value")
     flag = F.try_variant_get(value, "$.worthy", "variant")
     # A value that is not a JSON boolean counts by its truth; a false one gives NULL: no drafts,

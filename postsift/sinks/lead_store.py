@@ -26,8 +26,11 @@ def write_run(df: DataFrame, path: str, run_id: str, **above: str) -> None:
     when fewer rows or none are left. The rebalance lets the runtime choose file sizes, so a small
     run leaves few files.
     """
-    folder = "/".join(f"{name}={quote(value, safe='')}" for name, value in {**above, RUN: run_id}.items())
-    df.hint("rebalance").write.mode("overwrite").parquet(f"{path}/{folder}")
+    df.hint("rebalance").write.mode("overwrite").parquet(run_folder(path, run_id, **above))
+
+
+def run_folder(path: str, run_id: str, **above: str) -> str:
+    return "/".join([path, *[f"{name}={quote(value, safe='')}" for name, value in {**above, RUN: run_id}.items()]])
 
 
 def counted(outcome: DataFrame) -> tuple[DataFrame, Observation]:
@@ -42,10 +45,14 @@ def count_row(spark: SparkSession, seen: Observation) -> DataFrame:
 
 
 class LeadStore:
-    """Leads under ``path/leads``, changes to them under ``path/status_log``."""
+    """Leads under ``path/leads``, changes to them under ``path/status_log``.
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark = spark
+    With an ``index`` (a KeyIndex) duplicates are looked up there, so a run reads what its own ids
+    lead to; without one the id column of the whole store is scanned.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, index=None):
+        self.spark, self.index = spark, index
         self.leads_path = f"{path}/leads"
         self.log_path = f"{path}/status_log"
         create_table(spark, self.leads_path, _STORED, RUN)
@@ -81,8 +88,14 @@ class LeadStore:
         """
         kept, seen = counted(oc.store_outcomes(leads, self.known(leads, run_id), min_score))
         write_run(kept.select(schemas.LEADS.names), self.leads_path, run_id)
+        if self.index is not None:
+            self.reindex(run_id)
         return count_row(self.spark, seen)
 
+    def reindex(self, run_id: str) -> None:
+        """Note the ids of a stored run in the index; also mends a run that stopped in between."""
+        self.index.add(self.stored().where(F.col(RUN) == run_id), run_id)
+
     def record(self, changes: DataFrame) -> None:
         """Append changes to the status log."""
         changes.select(schemas.STATUS_LOG.names).write.mode("append").parquet(self.log_path)

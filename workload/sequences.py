@@ -4,10 +4,11 @@ from pyspark.sql import functions as F
 
 from postsift.operators import counts, enrichment as en, triage, work_queue as wq
 from postsift.plans.triage_run import EVERY, RunOptions, run
-from postsift.session import shared_dir
+from postsift.session import shared_dir, staged
 from postsift.sinks.daily_sheet import DailySheet
+from postsift.sinks.key_index import KeyIndex
 from postsift.sinks.lead_store import LeadStore
-from postsift.sources import posts as ps
+from postsift.sources import leads as ls, posts as ps
 from postsift.streaming import posts_stream as st
 from workload import checks as ck, tables as tb
 from workload.checks import check
@@ -206,3 +207,38 @@ FROM parsed WHERE needs_retry OR signal_score IS NULL OR signal_score NOT BETWEE
 def score_quarantine(spark, sf):
     parsed = en.parse_score_answers(tb.score_answers(spark, sf))
     return en.quarantined_scores(parsed).select("seq", "signal_score", "cause")
+
+
+# --- the id index ---------------------------------------------------------------------------------
+
+def _indexed_store(spark, name) -> LeadStore:
+    base = shared_dir(spark, name)
+    return LeadStore(spark, f"{base}/store", KeyIndex(spark, f"{base}/index", 64, 256))
+
+
+@check(f"WITH {LEADS}, {tb.stored_sql('quality')} SELECT seq, post_id FROM leads WHERE post_id NOT IN (SELECT post_id FROM stored)")
+def indexed_new_posts(spark, sf):
+    """Leads whose post is not stored; the stored ids lie in an index, folded in two steps and merged."""
+    index = KeyIndex(spark, f"{shared_dir(spark, 'indexed-posts')}/index", 64, 256)
+    ids = staged(tb.labelled_ids(spark, sf, "quality"), "ids")
+    half = F.pmod(F.xxhash64("post_id"), F.lit(2))
+    for number in range(2):
+        index.add(ids.where(half == number), f"r{number}")
+        index.fold()
+    index.add(ids.where(half == 0), "r0")
+    index.fold()
+    index.merge()
+    leads = staged(tb.leads(spark, sf).select("seq", "post_id"), "leads")
+    return ls.not_stored(leads, index.known(leads))
+
+
+@check(f"""WITH {LEADS}, firsts AS (SELECT arg_min(seq, (seq % 3, seq)) AS seq, post_id FROM leads
+  WHERE signal_score >= 5 GROUP BY post_id)
+SELECT seq, post_id, 'r' || seq % 3 AS run_id FROM firsts""")
+def indexed_save_outcomes(spark, sf):
+    """All leads in three runs into a store with an index; the second run is repeated after it was folded."""
+    store, rows = _indexed_store(spark, "indexed-store"), staged(tb.leads(spark, sf), "leads")
+    for number in (0, 1, 1, 2):
+        store.append(rows.where(F.pmod("seq", F.lit(3)) == number), f"r{number}", 5)
+        store.index.fold()
+    return store.stored().select("seq", "post_id", "run_id")
