@@ -182,21 +182,21 @@ def one_answer(answers: DataFrame, key: str) -> DataFrame:
     return answers.groupBy(key).agg(F.max_by("raw", F.struct(*order)).alias("raw"))
 
 
-def parse_batch_answers(batch_answers: DataFrame) -> DataFrame:
-    """``batch_answers(batch_no, raw)`` as (batch_no, usable, items).
+def parse_batch_answers(batch_answers: DataFrame, *more: str) -> DataFrame:
+    """``batch_answers(batch_no, raw)`` as (batch_no, usable, items), with the columns named in ``more``.
 
     Usable is an array of objects. An empty object or text has no items and is usable too: its
     leads simply stay unscored. Ids must be JSON text.
     """
-    extracted = _once(batch_answers.select("batch_no", "raw"), js.extract_json(F.col("raw")), "_text")
-    parsed = _once(extracted, js.parse_json(F.col("_text")), "_value").select("batch_no", "_value")
+    extracted = _once(batch_answers.select("batch_no", *more, "raw"), js.extract_json(F.col("raw")), "_text")
+    parsed = _once(extracted, js.parse_json(F.col("_text")), "_value")
     kind = F.schema_of_variant("_value")
     items = js.items(F.col("_value"))
     all_objects = F.coalesce(F.forall(items, js.is_object), F.lit(False))
     empty = (kind == "OBJECT<>") | ((kind == "STRING") & (F.try_variant_get("_value", "$", "string") == ""))
     scored = F.transform(items, lambda item: F.struct(js.text_field(item, "id").alias("id"), *score_fields(item)))
     return parsed.select(
-        "batch_no", F.coalesce(all_objects | empty, F.lit(False)).alias("usable"),
+        "batch_no", *more, F.coalesce(all_objects | empty, F.lit(False)).alias("usable"),
         F.when(all_objects, scored).alias("items"),
     )
 

@@ -1,7 +1,10 @@
 """Queries over sinks, sources and streams: write whole tables, go on writing, and read back."""
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
+from postsift.functions import text as tx
 from postsift.operators import counts, enrichment as en, triage, work_queue as wq
 from postsift.plans.triage_run import EVERY, RunOptions, run
 from postsift.session import shared_dir, staged
@@ -9,7 +12,7 @@ from postsift.sinks.daily_sheet import DailySheet
 from postsift.sinks.key_index import KeyIndex
 from postsift.sinks.lead_store import LeadStore
 from postsift.sources import leads as ls, posts as ps
-from postsift.streaming import posts_stream as st
+from postsift.streaming import answers as an, late as lt, lifecycle as lc, posts_stream as st, remembered as rm
 from workload import checks as ck, tables as tb
 from workload.checks import check
 from workload.tables import LEADS, POSTS
@@ -242,3 +245,100 @@ def indexed_save_outcomes(spark, sf):
         store.append(rows.where(F.pmod("seq", F.lit(3)) == number), f"r{number}", 5)
         store.index.fold()
     return store.stored().select("seq", "post_id", "run_id")
+
+
+# --- streams that remember ------------------------------------------------------------------------
+
+def _in_files(spark, rows, name, parts):
+    """``rows`` as a folder of files, one after the other: each is a micro-batch of a stream."""
+    path, rows = shared_dir(spark, name), staged(rows, f"{name}-rows")
+    for part in parts:
+        rows.where(part).coalesce(1).write.mode("append").parquet(path)
+    return path, rows.schema
+
+
+@check(f"""WITH {LEADS}, firsts AS (SELECT arg_min(seq, (seq % 3, seq)) AS seq, post_id FROM leads
+  WHERE signal_score >= 5 GROUP BY post_id) SELECT seq, post_id FROM firsts""")
+def stream_first_saved(spark, sf):
+    """All leads in three micro-batches, the last after a restart; ids are remembered in keyed state."""
+    rows = tb.leads(spark, sf).select("seq", "post_id", "signal_score")
+    thirds = [F.pmod("seq", F.lit(3)) == n for n in range(3)]
+    path, schema = _in_files(spark, rows.where(thirds[0] | thirds[1]), "first-saved", thirds[:2])
+    out, checkpoint = shared_dir(spark, "first-saved-out"), shared_dir(spark, "first-saved-checkpoint")
+
+    def go():
+        leads = st.post_stream(spark, path, schema, max_files=1)
+        rm.first_saved(leads, 5).writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).format(
+            "parquet").option("path", out).start().awaitTermination()
+
+    go()
+    staged(rows.where(thirds[2]), "rest").coalesce(1).write.mode("append").parquet(path)
+    go()
+    return spark.read.parquet(out).select("seq", "post_id")
+
+
+_RULES = " ".join(f"WHEN '{status}' THEN asked IN ({', '.join(repr(s) for s in after) or 'NULL'})" for status, after in lc.FOLLOWS.items())
+_ASKED = "CASE event_type WHEN 'click' THEN 'contacted' WHEN 'view' THEN 'replied' WHEN 'purchase' THEN 'converted' WHEN 'error' THEN 'ignored' ELSE 'new' END"
+
+
+@check(f"""WITH RECURSIVE asked AS (SELECT 'u' || user_id AS post_id, {_ASKED} AS asked, ts::TIMESTAMP AS moment FROM events),
+numbered AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY post_id ORDER BY moment, asked) AS n FROM asked),
+walk AS (
+  SELECT post_id, 0::BIGINT AS n, 'new' AS before, NULL::VARCHAR AS asked, NULL::TIMESTAMP AS moment, false AS good, 'new' AS status, NULL::TIMESTAMP AS since,
+    false AS was_stale, false AS stale FROM (SELECT DISTINCT post_id FROM asked)
+  UNION ALL
+  SELECT post_id, n, before, asked, moment, good, CASE WHEN good THEN asked ELSE before END, CASE WHEN good THEN moment ELSE since END, gone, NOT good AND (stale OR gone) FROM (
+    SELECT w.post_id, x.n, w.status AS before, x.asked, x.moment, coalesce(CASE w.status {_RULES.replace("asked IN", "x.asked IN")} END, false) AS good, w.since, w.stale,
+      w.status IN ('contacted', 'replied') AND NOT w.stale AND x.moment > w.since + INTERVAL 1 DAY AS gone
+    FROM walk w JOIN numbered x ON x.post_id = w.post_id AND x.n = w.n + 1)),
+ends AS (SELECT post_id, status, since, stale FROM walk QUALIFY n = max(n) OVER (PARTITION BY post_id)),
+steps AS (SELECT post_id, before, asked, moment, CASE WHEN good THEN 'applied' ELSE 'refused' END AS outcome FROM walk WHERE n > 0
+  UNION ALL SELECT x.post_id, x.before, NULL, p.since + INTERVAL 1 DAY, 'stale' FROM walk x JOIN walk p ON p.post_id = x.post_id AND p.n = x.n - 1 WHERE x.was_stale
+  UNION ALL SELECT post_id, status, NULL, since + INTERVAL 1 DAY, 'stale' FROM ends WHERE status IN ('contacted', 'replied') AND NOT stale
+    AND since + INTERVAL 1 DAY < (SELECT max(moment) FROM asked) - INTERVAL 2 DAYS)
+SELECT post_id, before, asked, strftime(moment, '%Y-%m-%d %H:%M:%S') AS "at", outcome FROM steps""")
+def lifecycle_steps(spark, sf):
+    """Every event as a status request of its user, in three micro-batches by time: applied, refused and stale."""
+    e = tb.events(spark, sf)
+    asked = F.when(F.col("event_type") == "click", "contacted").when(F.col("event_type") == "view", "replied").when(
+        F.col("event_type") == "purchase", "converted").when(F.col("event_type") == "error", "ignored").otherwise("new")
+    rows = e.select(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("post_id"), asked.alias("status"), F.col("ts").cast("timestamp").alias("at"))
+    low, high = rows.agg(F.min("at"), F.max("at")).first()
+    a, b = (F.lit(low + (high - low) * share).cast("timestamp") for share in (0.4, 0.7))
+    path, schema = _in_files(spark, rows, "lifecycle", [F.col("at") < a, F.col("at").between(a, b) & (F.col("at") < b), F.col("at") >= b])
+    done = st.to_table(lc.steps(st.post_stream(spark, path, schema, max_files=1), "2 days", 1), "lifecycle-steps")
+    return done.select("post_id", "before", "asked", F.date_format("at", tx.SECONDS_FORMAT).alias("at"), "outcome")
+
+
+@check(f"""{ck._BATCHED} SELECT DISTINCT batch_no FROM batched WHERE NOT ({ck._USABLE}) OR batch_no % 11 = 5""")
+def stream_retries(spark, sf):
+    """Batches to be asked again: their answer is missing, unusable or an hour late; others are answered twice."""
+    answers = staged(tb.batch_answers(spark, sf), "answers")
+    start = F.timestamp_seconds(F.lit(1_704_067_200) + F.col("batch_no") * 60)
+    asked = answers.select("batch_no", start.alias("asked_at"))
+    delay = F.when(F.col("batch_no") % 11 == 5, 5400).otherwise(120)
+    given = answers.where("raw IS NOT NULL").select("batch_no", "raw", F.timestamp_seconds(start.cast("long") + delay).alias("answered_at"))
+    twice = given.where("batch_no % 11 > 6").withColumn("answered_at", F.timestamp_seconds(F.col("answered_at").cast("long") + 60))
+    # A later sign of life in both streams, so the last requests are not waited for any more.
+    end = answers.agg(F.max("batch_no").alias("batch_no")).select(F.timestamp_seconds(F.lit(1_704_067_200 + 864_000) + F.col("batch_no") * 60).alias("at"))
+    last = answers.agg(F.max("batch_no")).first()[0] or 0
+    parts = [F.col("batch_no").between(0, last // 2), F.col("batch_no") > last // 2, F.col("batch_no") < 0]
+    none = F.lit(-1).cast("long").alias("batch_no")
+    a_path, a_schema = _in_files(spark, asked.unionByName(end.select(none, F.col("at").alias("asked_at"))), "asked", parts)
+    g_path, g_schema = _in_files(spark, given.unionByName(twice).unionByName(
+        end.select(none, F.lit("{}").alias("raw"), F.col("at").alias("answered_at"))), "given", parts)
+    rows = an.retries(st.post_stream(spark, a_path, a_schema, max_files=1), st.post_stream(spark, g_path, g_schema, max_files=1))
+    return st.to_table(rows, "retries").select("batch_no")
+
+
+@check(f"""{ck.TRIAGE}, timed AS (SELECT *, make_timestamp(created_utc * 1000000) AS moment, date_trunc('hour', make_timestamp(created_utc * 1000000)) AS start FROM classified),
+mark AS (SELECT max(moment) - INTERVAL 2 DAYS AS w FROM timed WHERE seq % 2 = 0)
+SELECT strftime(start, '%Y-%m-%d %H:%M:%S') AS hour, {ck._FUNNEL}, count(*) FILTER (coalesce(seq % 2 = 1 AND start + INTERVAL 1 HOUR <= w, false)) AS late
+FROM timed, mark GROUP BY start""")
+def late_funnel(spark, sf):
+    """The funnel per hour of two micro-batches, the second mostly late; late rows are folded into their hours."""
+    rows = ck.small_triage(spark, sf).select("seq", "id", "created_utc", "verdict")
+    path, schema = _in_files(spark, rows, "late", [F.col("seq") % 2 == 0, F.col("seq") % 2 == 1])
+    funnel = lt.WindowedFunnel(spark, shared_dir(spark, "late-funnel"), delay=timedelta(days=2))
+    funnel.start(st.post_stream(spark, path, schema, max_files=1), shared_dir(spark, "late-checkpoint")).awaitTermination()
+    return funnel.folded().select(F.date_format("start", tx.SECONDS_FORMAT).alias("hour"), "total", *triage.VERDICTS, "late")
