@@ -5,7 +5,7 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from postsift.functions import text as tx
-from postsift.operators import counts, enrichment as en, triage, work_queue as wq
+from postsift.operators import counts, enrichment as en, search_index as si, triage, work_queue as wq
 from postsift.plans.triage_run import EVERY, RunOptions, run
 from postsift.session import shared_dir, staged
 from postsift.sinks.daily_sheet import DailySheet
@@ -342,3 +342,35 @@ def late_funnel(spark, sf):
     funnel = lt.WindowedFunnel(spark, shared_dir(spark, "late-funnel"), delay=timedelta(days=2))
     funnel.start(st.post_stream(spark, path, schema, max_files=1), shared_dir(spark, "late-checkpoint")).awaitTermination()
     return funnel.folded().select(F.date_format("start", tx.SECONDS_FORMAT).alias("hour"), "total", *triage.VERDICTS, "late")
+
+
+# --- the search index -----------------------------------------------------------------------------
+
+_QUERIES = [("any", "tion with from", False, False), ("all", "that from", True, False), ("phrase", "from the", True, True)]
+
+
+def _bm25(mode, query, every, phrase):
+    said = query.split()
+    need = len(set(said)) if every else 1
+    held = ", ".join(f"'{t}'" for t in said)
+    beside = f"AND contains(' ' || array_to_string(words, ' ') || ' ', ' {query} ')" if phrase else ""
+    return f"""SELECT * FROM (SELECT '{mode}' AS mode, seq, CAST(round(sum(idf * n * 2.2::DOUBLE / (n + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * length / average))) * 1000) AS BIGINT) AS score
+  FROM (SELECT seq, word, count(*) AS n FROM spoken WHERE word IN ({held}) GROUP BY seq, word) JOIN worded USING (seq) JOIN rare USING (word), sizes
+  WHERE true {beside} GROUP BY seq HAVING count(*) >= {need} ORDER BY sum(idf * n * 2.2::DOUBLE / (n + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * length / average))) DESC, seq LIMIT 50)"""
+
+
+@check(f"""WITH {POSTS},
+worded AS MATERIALIZED (SELECT seq, w AS words, len(w) AS length FROM (SELECT seq, regexp_extract_all(lower(title || ' ' || selftext), '[\\p{{L}}\\p{{N}}]+') AS w FROM posts)),
+spoken AS MATERIALIZED (SELECT seq, unnest(words) AS word FROM worded),
+sizes AS (SELECT count(*) AS posts_n, sum(length) / count(*) AS average FROM worded),
+rare AS (SELECT word, ln(1 + (any_value(posts_n) - count(DISTINCT seq) + 0.5::DOUBLE) / (count(DISTINCT seq) + 0.5::DOUBLE)) AS idf FROM spoken, sizes GROUP BY word)
+{' UNION ALL '.join(_bm25(*q) for q in _QUERIES)}""")
+def indexed_search(spark, sf):
+    """The 50 best posts for three searches, over an index that was added to twice."""
+    index = si.SearchIndex(spark, shared_dir(spark, "search-index"), buckets=16, block=4096)
+    posts = tb.posts(spark, sf).select("seq", "title", "selftext")
+    for number in range(2):
+        index.add(posts.where(F.pmod("seq", F.lit(2)) == number), f"p{number}")
+    found = [index.search(query, 50, every, phrase).select(F.lit(mode).alias("mode"), "seq", F.round(F.col("score") * 1000).cast("long").alias("score"))
+             for mode, query, every, phrase in _QUERIES]
+    return _union(found)
