@@ -24,11 +24,14 @@ TAILS = 32
 END = 0  # the class of the end; also stands before a text
 CONTEXT = 3
 WIDTH = 16
-NOISE = 24
+NOISE = 32
 BATCH = 2048
 # Positions whose classes' probabilities are worked out at a time.
 AT_ONCE = 512
 RATE = 0.08
+# Training texts are dealt by hash into pieces of about so many tokens; each round trains a model on every
+# one of its pieces, all from the average of the round before.
+PIECE_TOKENS, ROUNDS = 1 << 21, 2
 # At most so many words, the most frequent, whose counts every task holds; those of all others are joined.
 KNOWN = 50_000
 # Different words that a task counts before it passes them on.
@@ -204,14 +207,19 @@ class Corpus:
     """What every task knows: totals, the counts of frequent words, sums by tail class."""
 
     def __init__(self, counts: DataFrame, n_texts: int):
-        # How many words have each count: at most about the root of the corpus in rows, however many words.
-        least, words = None, 0
-        for n, many in sorted(counts.groupBy("n").count().collect(), reverse=True):
-            words += many
-            if words > KNOWN:
+        # Words by their counts' eleven leading bits: at most 65,536 numbers of words, however many words.
+        level = F.expr("struct(length(bin(n)) AS o, shiftright(n, greatest(length(bin(n)) - 11, 0)) AS v)")
+        leveled, words, least, share = counts.withColumn("level", level), 0, None, 0.0
+        for (o, v), many in sorted(((tuple(r.level), r["count"]) for r in leveled.groupBy("level").count().collect()), reverse=True):
+            if words + many > KNOWN:  # of the words at the bound those with small hashes are known
+                least, share = (o, v), (KNOWN - words) / many
                 break
-            least = n
-        top = [] if least is None else counts.where(F.col("n") >= least).collect()
+            words += many
+        if least is not None:
+            at = F.expr(f"struct({least[0]} AS o, {least[1]}L AS v)")
+            small = F.pmod(F.xxhash64("word"), F.lit(1 << 31)) < int(share * (1 << 31))
+            leveled = leveled.where((F.col("level") > at) | ((F.col("level") == at) & small))
+        top = leveled.select("word", "n").collect()
         top.sort(key=lambda r: (-r.n, bytes(r.word)))
         self.vocabulary = Vocabulary([(bytes(r.word), r.n) for r in top], HEADS, n_texts)
         heads = [bytes(r.word) for r in top[:HEADS]]
@@ -232,32 +240,54 @@ class Corpus:
         return np.log10((count + 1) / (self.tokens + self.words + 1))
 
 
-def train(texts: DataFrame, corpus: Corpus) -> LogBilinear:
-    """Every task trains on all its texts from the same start; the models are averaged by tokens.
+def train(texts: DataFrame, corpus: Corpus, piece_tokens: int = PIECE_TOKENS, rounds: int = ROUNDS) -> LogBilinear:
+    """Train on all ``texts`` (doc_id, text) in rounds of equal pieces.
 
-    A task learns from the text it reads, so learning grows with the corpus; what comes together
-    is one model of a few thousand numbers per task, summed by place.
+    A piece is what the hash of its rows says, about ``piece_tokens`` tokens, and is read in the order of
+    these hashes, so the model depends on the texts and not on how the table is split. The models
+    of a round, a few thousand numbers for each piece, are summed by place and averaged by tokens;
+    the next round, over other texts, starts from the average. All texts are read once.
     """
     shared = texts.sparkSession.sparkContext.broadcast(corpus)
-
-    def fit(batches):
-        known = shared.value
-        model, rng, seen = LogBilinear(known.model.unigram), np.random.default_rng(3), 0
-        memory = [np.full(p.shape, 1e-3, "f4") for p in model.parts()]
-        for whole in batches:
-            for batch in blocks(whole, "text"):
-                _, classes, _, sizes = known.vocabulary.read(batch.column("text").to_pylist())
-                model.train(classes, sizes, rng, memory)
-                seen += len(classes)
-        if seen:
-            flat = np.concatenate([p.ravel() for p in model.parts()]).astype(np.float64) * seen
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(len(flat))), pa.array(flat), pa.array(np.full(len(flat), seen))],
-                names=["place", "value", "weight"])
-
-    parts = texts.select("text").mapInArrow(fit, "place long, value double, weight long")
-    mean = parts.groupBy("place").agg((F.sum("value") / F.sum("weight")).alias("value")).orderBy("place").collect()
-    return corpus.model.set(np.array([r.value for r in mean])) if mean else corpus.model
+    n_pieces = rounds * max(1, round(corpus.tokens / (piece_tokens * rounds)))
+    key = F.xxhash64("doc_id", "text")
+    keyed = texts.select("text", key.alias("key"), F.pmod(key, F.lit(n_pieces)).alias("piece"))
+    for number in range(rounds):
+        start = np.concatenate([p.ravel() for p in corpus.model.parts()])
+
+        def fit(batches, start=start):
+            known, open_ = shared.value, None
+
+            def row(model, seen):
+                flat = np.concatenate([p.ravel() for p in model.parts()]).astype(np.float64) * seen
+                return pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(len(flat))), pa.array(flat), pa.array(np.full(len(flat), seen))],
+                    names=["place", "value", "weight"])
+
+            for whole in batches:
+                for batch in blocks(whole, "text"):
+                    pieces = batch.column("piece").to_numpy()
+                    cuts = np.flatnonzero(np.concatenate([[True], pieces[1:] != pieces[:-1], [True]]))
+                    for low, high in zip(cuts[:-1], cuts[1:]):
+                        if open_ is None or open_[0] != pieces[low]:
+                            if open_ is not None:
+                                yield row(*open_[1:3])
+                            model = LogBilinear(known.model.unigram).set(start)
+                            memory = [np.full(p.shape, 1e-3, "f4") for p in model.parts()]
+                            open_ = [pieces[low], model, 0, memory, np.random.default_rng([3, int(pieces[low])])]
+                        texts_ = batch.column("text").slice(low, high - low).to_pylist()
+                        _, classes, _, sizes = known.vocabulary.read(texts_)
+                        open_[1].train(classes, sizes, open_[4], open_[3])
+                        open_[2] += len(classes)
+            if open_ is not None:
+                yield row(*open_[1:3])
+
+        some = keyed.where(F.col("piece") % rounds == number).repartition("piece").sortWithinPartitions("piece", "key")
+        parts = some.mapInArrow(fit, "place long, value double, weight long")
+        mean = parts.groupBy("place").agg((F.sum("value") / F.sum("weight")).alias("value")).orderBy("place").collect()
+        if mean:
+            corpus.model.set(np.array([r.value for r in mean]))
+    return corpus.model
 
 
 PART_TYPES = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.int64())
