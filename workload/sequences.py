@@ -5,7 +5,7 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from postsift.functions import text as tx
-from postsift.operators import counts, enrichment as en, search_index as si, triage, work_queue as wq
+from postsift.operators import counts, enrichment as en, search_index as si, term_join as tj, triage, work_queue as wq
 from postsift.plans.triage_run import EVERY, RunOptions, run
 from postsift.session import shared_dir, staged
 from postsift.sinks.daily_sheet import DailySheet
@@ -374,3 +374,14 @@ def indexed_search(spark, sf):
     found = [index.search(query, 50, every, phrase).select(F.lit(mode).alias("mode"), "seq", F.round(F.col("score") * 1000).cast("long").alias("score"))
              for mode, query, every, phrase in _QUERIES]
     return _union(found)
+
+
+# --- the term table -------------------------------------------------------------------------------
+
+@check(f"""{ck.TRIAGE_WIDE} SELECT seq, 'trigger' AS kind, array_to_string(trig, '|') AS terms FROM matched WHERE len(trig) > 0
+UNION ALL SELECT seq, 'exclude', array_to_string(excl, '|') FROM matched WHERE len(excl) > 0""")
+def term_table_matches(spark, sf):
+    """The default dictionary as a table, joined to the posts by q-grams."""
+    posts = staged(tb.posts(spark, sf).select("seq", "title", "selftext"), "posts")
+    rows = tj.term_matches(posts, ck.WIDE.table(spark))
+    return rows.select("seq", "kind", ck.joined("terms").alias("terms"))
