@@ -9,6 +9,7 @@ from postsift.operators import counts, enrichment as en, search_index as si, ter
 from postsift.plans.triage_run import EVERY, RunOptions, run
 from postsift.session import shared_dir, staged
 from postsift.sinks.daily_sheet import DailySheet
+from postsift.sinks import ledgers as cl
 from postsift.sinks.key_index import KeyIndex
 from postsift.sinks.lead_store import LeadStore
 from postsift.sources import leads as ls, posts as ps
@@ -385,3 +386,45 @@ def term_table_matches(spark, sf):
     posts = staged(tb.posts(spark, sf).select("seq", "title", "selftext"), "posts")
     rows = tj.term_matches(posts, ck.WIDE.table(spark))
     return rows.select("seq", "kind", ck.joined("terms").alias("terms"))
+
+
+# --- ledgers --------------------------------------------------------------------------------------
+
+@check(f"""WITH {LEADS}, {ck._REQUESTS}, first AS (SELECT min(seq) AS seq FROM leads GROUP BY post_id),
+changes AS (SELECT post_id, arg_max(status, (asked_at, status)) AS new_status FROM requests WHERE status <> 'bogus' GROUP BY post_id),
+kept AS (SELECT l.* REPLACE (coalesce(c.new_status, l.status) AS status) FROM first JOIN leads l USING (seq) LEFT JOIN changes c ON c.post_id = l.post_id)
+SELECT 'total' AS dimension, '' AS key, count(*) AS n FROM kept
+UNION ALL SELECT 'status', status, count(*) FROM kept WHERE status <> '' GROUP BY status
+UNION ALL SELECT 'language', language_detected, count(*) FROM kept WHERE language_detected <> '' GROUP BY language_detected
+UNION ALL SELECT 'subreddit', subreddit, count(*) FROM kept WHERE subreddit <> '' GROUP BY subreddit
+UNION ALL SELECT 'action', 'total', count(*) FROM kept UNION ALL SELECT 'action', 'comment_worthy', count(*) FILTER (comment_worthy) FROM kept
+UNION ALL SELECT 'action', 'sent', count(*) FILTER (sent) FROM kept UNION ALL SELECT 'action', 'pending', count(*) FILTER ({tb.PENDING}) FROM kept""")
+def counts_kept(spark, sf):
+    """Counts summed from the parts of two runs, one of them repeated, and of two batches of status changes."""
+    base = shared_dir(spark, "counts-kept")
+    store, ledger = LeadStore(spark, f"{base}/store"), cl.CountLedger(spark, f"{base}/counts")
+    firsts = staged(tb.leads(spark, sf), "leads")
+    half = firsts.agg(F.max("seq")).first()[0] // 2
+    for run_id, part in (("r1", F.col("seq") <= half), ("r2", F.col("seq") > half), ("r2", F.col("seq") > half)):
+        store.append(firsts.where(part), run_id)
+        ledger.add_run(store.stored().where(F.col("run_id") == run_id).drop("run_id"), run_id)
+    requests = tb.status_requests(spark, sf)
+    for number in range(2):
+        some = requests.where(F.pmod(F.xxhash64("post_id", "at"), F.lit(2)) == number)
+        changes = staged(wq.status_changes(store.stored(), some), "changes")
+        ledger.add_changes(store.stored().drop("run_id"), store.log(), changes, f"c{number}")
+        store.record(changes)
+    return ledger.read()
+
+
+@check(f"""WITH {LEADS} SELECT seq, place, (place - 1) // 5 AS batch_no, CAST((place - 1) % 5 AS INTEGER) AS batch_pos
+FROM (SELECT seq, row_number() OVER (ORDER BY seq) AS place FROM leads)""")
+def numbers_go_on(spark, sf):
+    """All leads in three runs, numbered and batched like one; the last run is repeated."""
+    ledger = cl.PositionLedger(spark, shared_dir(spark, "numbers"))
+    rows = staged(tb.leads(spark, sf).select("seq"), "leads")
+    last = rows.agg(F.max("seq")).first()[0]
+    cuts = [-1, last // 3, last // 2, last]
+    parts = [rows.where((F.col("seq") > a) & (F.col("seq") <= b)) for a, b in zip(cuts, cuts[1:])]
+    numbered = [ledger.number(part, f"r{i}", "place", size=5) for i, part in enumerate(parts)]
+    return _union([*numbered[:2], ledger.number(parts[2], "r2", "place", size=5)])
