@@ -7,6 +7,7 @@ pages. One linear scan finds the contiguous run with the highest sum; its blocks
 
 import html
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -17,21 +18,22 @@ from postsift.llm.sampling import by_hash
 from postsift.llm.text import blocks
 
 # Elements by their part in a page.
-HIDDEN = ("script", "style", "noscript", "template", "head", "title", "svg", "math", "iframe", "object",
-          "canvas", "audio", "video", "select", "textarea", "button")
+HIDDEN = ("script", "style", "noscript", "template", "head", "title", "svg", "iframe", "object",
+          "canvas", "audio", "video", "select", "textarea", "button", "annotation", "annotation-xml")
 RAW = ("script", "style", "textarea", "title", "iframe", "noscript")
 RAW_END = {name: re.compile(f"</{name}", re.IGNORECASE | re.ASCII) for name in RAW}
 VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
 INLINE = ("a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i",
           "ins", "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong",
-          "sub", "sup", "time", "tt", "u", "var", "wbr", "nobr")
-BOILERPLATE = ("nav", "header", "footer", "aside", "form", "menu", "dialog", "fieldset", "figcaption")
+          "sub", "sup", "time", "tt", "u", "var", "wbr", "nobr",
+          "math", "mi", "mn", "mo", "ms", "mtext", "mrow", "mfrac", "msup", "msub", "msubsup", "msqrt", "mroot", "semantics")
+BOILERPLATE = ("nav", "header", "footer", "aside", "form", "menu", "dialog", "fieldset")
 # Of these, the ones that may also be wrapped around a whole page.
 WRAPPERS = ("form", "fieldset")
 CONTENT = ("article", "main")
 # Elements that hold anything: what stands in them says nothing, and their tags are cheap.
 NEUTRAL = ("html", "body", "div", "section", "p", "span", "ul", "ol", "li", "dl", "dt", "dd", "table", "thead", "tbody",
-           "tr", "td", "th", "center", "blockquote", "pre", "figure", "br", "hr", "img", "h1", "h2", "h3", "h4", "h5", "h6")
+           "tr", "td", "th", "center", "blockquote", "pre", "figure", "figcaption", "br", "hr", "img", "h1", "h2", "h3", "h4", "h5", "h6")
 # Words in a class, id or role that name a part: of the page's frame, and of its content.
 FRAME_NAMES = re.compile(
     r"^(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner\w*|nav\w*|menu\w*|breadcrumbs?|header|masthead|foot|footer\w*|"
@@ -87,7 +89,17 @@ def tokens(page: str):
 
     ``context`` is the innermost element around, or None. Text in hidden elements is left out.
     """
-    stack, context = [], None
+    stack, context, hidden, open_ = [], None, 0, Counter()
+
+    def close(depth):
+        """Take the elements from ``depth`` on off the stack."""
+        nonlocal context, hidden
+        for name, _ in stack[depth:]:
+            open_[name] -= 1
+            hidden -= name in HIDDEN
+        del stack[depth:]
+        context = stack[-1][1] if stack else None
+
     position, size = 0, len(page)
     while position < size:
         match = TOKEN.match(page, position)
@@ -95,7 +107,7 @@ def tokens(page: str):
             return
         piece, position = match.group(), match.end()
         if piece[0] != "<" or piece == "<":
-            if not any(k[0] in HIDDEN for k in stack):
+            if not hidden:
                 yield "text", html.unescape(piece), context
             continue
         named = NAME.match(piece)
@@ -103,23 +115,22 @@ def tokens(page: str):
             continue
         name = named[1].lower()
         if piece[1] == "/":
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == name:
-                    if name in INLINE and any(k[0] not in INLINE for k in stack[depth + 1:]):
+            if open_[name]:
+                for depth in range(len(stack) - 1, -1, -1):
+                    if stack[depth][0] == name:
+                        close(depth)
+                        break
+                    if name in INLINE and stack[depth][0] not in INLINE:
                         break
-                    del stack[depth:]
-                    context = stack[-1][1] if stack else None
-                    break
         else:
             keys = tag_keys(name, piece)
             if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option"):  # their end tag may be missing
                 for depth in range(len(stack) - 1, -1, -1):
                     if stack[depth][0] == name:
-                        del stack[depth:]
+                        close(depth)
                         break
-                    if stack[depth][0] not in INLINE and stack[depth][0] != "p":
+                    if not open_[name] or stack[depth][0] not in INLINE and stack[depth][0] != "p":
                         break
-                context = stack[-1][1] if stack else None
             if name in RAW:
                 end = RAW_END[name].search(page, position)
                 if end is None:
@@ -128,6 +139,8 @@ def tokens(page: str):
             if name not in VOID and not piece.endswith("/>"):
                 context = Element(context, keys)
                 stack.append((name, context))
+                open_[name] += 1
+                hidden += name in HIDDEN
             yield "inline" if name in INLINE else "block", keys, context
             continue
         yield "inline" if name in INLINE else "block", [name], context

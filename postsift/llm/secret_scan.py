@@ -159,11 +159,14 @@ class Formats:
 
     def spans(self, text: str) -> list:
         """The base matches and the learnt ones; those inside a base match are not given again."""
-        base = base_spans(text)
-        found = []
+        base = sorted(base_spans(text), key=lambda s: (s[0], s[2]))
+        found, at, reach = [], 0, 0  # reach: how far the base matches go that start at or before the candidate
         if self.automata:
             for m in CANDIDATE.finditer(text):
-                if not any(s <= m.start() and m.end() <= e for s, e, _ in base) and self.secret(m.group()):
+                while at < len(base) and base[at][0] <= m.start():
+                    reach = max(reach, base[at][1])
+                    at += 1
+                if m.end() > reach and self.secret(m.group()):
                     found.append((m.start(), m.end(), 3))
         return sorted(base + found, key=lambda s: (s[0], s[2]))
 
@@ -192,7 +195,10 @@ def _labels(batches):
 
 
 def learn(docs: DataFrame, sample: int = SAMPLE) -> Formats:
-    """Formats from at most ``sample`` labelled credentials of each kind, spread by hash over all texts."""
+    """Formats from at most ``sample`` labelled credentials of each kind, spread by hash over all texts.
+
+    Credentials of over LONGEST_LEARNT characters are found like others but not learnt from.
+    """
     found = staged(docs.select("text").mapInArrow(_labels, LABELLED).where(
         F.length("value") <= LONGEST_LEARNT).distinct(), "credentials")
     chosen: dict = {k: [] for k in range(4)}

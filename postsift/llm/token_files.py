@@ -26,6 +26,8 @@ from postsift.session import shared_dir, staged
 
 # Ids in one file at most, but for a longer single document.
 FILE_IDS = 16 << 20
+# Documents in one batch of rows when files are read.
+DOCS_AT_ONCE = 4096
 SAMPLE = 256
 MAGIC = b"EFTOKENS"
 FOOTER = struct.Struct("<8sQQQQqQQQQQQ")
@@ -141,7 +143,10 @@ class _Writer:
         self.id_bytes, self.n_ids, self.ends, self.keys = id_bytes, 0, [], []
 
     def add(self, key, ids: bytes):
-        self.out.write(np.frombuffer(ids, "<u4").astype(f"<u{self.id_bytes}").tobytes())
+        wide = np.frombuffer(ids, "<u4")
+        if len(wide) and int(wide.max()) >> (8 * self.id_bytes):
+            raise ValueError(f"token id {int(wide.max())} doesn't fit {self.id_bytes} bytes")
+        self.out.write(wide.astype(f"<u{self.id_bytes}").tobytes())
         self.n_ids += len(ids) // 4
         self.ends.append(self.n_ids)
         self.keys.append(key)
@@ -207,28 +212,34 @@ ROW = T.StructType([
 def read(manifest: DataFrame, at_once: int = 1 << 20) -> DataFrame:
     """Per document, from the files: doc_id, start over all files, n_tokens, ids_crc32.
 
-    The manifest has one narrow row per file, so its running sum is small however large the ids are.
+    Where a document ends is selected from the coded boundaries, a bounded number at a time, and the
+    files are spread over the tasks. The manifest has one narrow row per file, so its running sum is small however large the ids are.
     """
     before = F.sum("n_ids").over(Window.orderBy("part", "file").rowsBetween(Window.unboundedPreceding, -1))
     placed = manifest.select("path", F.coalesce(before, F.lit(0)).alias("before"))
-    files = placed.repartition(F.col("path"))
+    # A stated number of partitions, which the runtime doesn't merge into one.
+    spread = max(1, int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    files = placed.repartition(spread, F.col("path"))
 
     def load(batches):
         for batch in batches:
             for path, before in zip(batch.column("path").to_pylist(), batch.column("before").to_pylist()):
                 file = TokenFile(path)
-                ends = file.ends.decode().astype(np.int64)
-                starts = np.concatenate([[0], ends[:-1]])
-                sums, i = np.empty(len(ends), np.int64), 0
-                while i < len(ends):
-                    stop = max(i + 1, int(np.searchsorted(ends, starts[i] + at_once, "right")))
-                    ids = file.ids(int(starts[i]), int(ends[stop - 1])).astype("<u4").tobytes()
-                    for k in range(i, stop):
-                        sums[k] = crc(ids[4 * (starts[k] - starts[i]): 4 * (ends[k] - starts[i])])
-                    i = stop
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(file.doc_ids(), pa.int64()), pa.array(starts + before), pa.array(ends - starts),
-                     pa.array(sums)], names=ROW.names)
+                keys, start, i = file.doc_ids(), 0, 0
+                while i < file.n_docs:
+                    ends = [file.ends.select(i)]
+                    while i + len(ends) < file.n_docs and len(ends) < DOCS_AT_ONCE:
+                        end = file.ends.select(i + len(ends))
+                        if end - start > at_once:
+                            break
+                        ends.append(end)
+                    starts = [start, *ends[:-1]]
+                    ids = file.ids(start, ends[-1]).astype("<u4").tobytes()
+                    sums = [crc(ids[4 * (a - start): 4 * (b - start)]) for a, b in zip(starts, ends)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(keys[i: i + len(ends)], pa.int64()), pa.array([a + before for a in starts], pa.int64()),
+                         pa.array([b - a for a, b in zip(starts, ends)], pa.int64()), pa.array(sums, pa.int64())], names=ROW.names)
+                    start, i = ends[-1], i + len(ends)
                 file.close()
 
     return files.mapInArrow(load, ROW)
