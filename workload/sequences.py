@@ -12,7 +12,7 @@ from postsift.sinks.daily_sheet import DailySheet
 from postsift.sinks import ledgers as cl
 from postsift.sinks.key_index import KeyIndex
 from postsift.sinks.lead_store import LeadStore
-from postsift.sources import leads as ls, posts as ps
+from postsift.sources import leads as ls, pages as pg, posts as ps
 from postsift.streaming import answers as an, late as lt, lifecycle as lc, posts_stream as st, remembered as rm
 from workload import checks as ck, tables as tb
 from workload.checks import check
@@ -428,3 +428,31 @@ def numbers_go_on(spark, sf):
     parts = [rows.where((F.col("seq") > a) & (F.col("seq") <= b)) for a, b in zip(cuts, cuts[1:])]
     numbered = [ledger.number(part, f"r{i}", "place", size=5) for i, part in enumerate(parts)]
     return _union([*numbered[:2], ledger.number(parts[2], "r2", "place", size=5)])
+
+
+# --- listing pages --------------------------------------------------------------------------------
+
+@check(f"""WITH {POSTS}, wanted AS (SELECT * FROM posts WHERE subreddit IN ('src1', 'src3', 'src5') AND created_utc >= (SELECT avg(created_utc) FROM posts))
+SELECT 'batch' AS read_as, seq, id, subreddit, author, num_comments FROM wanted
+UNION ALL SELECT 'stream', seq, id, subreddit, author, num_comments FROM wanted""")
+def paged_posts(spark, sf):
+    """All posts as listing pages, read with filters in batch, and as a stream that stops halfway and goes on."""
+    pg.use_pages(spark)
+    folder, rows = shared_dir(spark, "pages"), staged(tb.posts(spark, sf), "posts")
+    since = rows.agg(F.avg("created_utc")).first()[0]
+    wanted = F.col("subreddit").isin("src1", "src3", "src5") & (F.col("created_utc") >= since)
+    columns = ["seq", "id", "subreddit", "author", "num_comments"]
+    out, checkpoint = shared_dir(spark, "pages-out"), shared_dir(spark, "pages-checkpoint")
+
+    def go():
+        posts = spark.readStream.format("listing_pages").option("path", folder).load()
+        posts.where(wanted).select(columns).writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).format(
+            "parquet").option("path", out).start().awaitTermination()
+
+    half = rows.agg(F.max("seq")).first()[0] // 2
+    n_pages = staged(pg.write_pages(rows.where(F.col("seq") <= half), folder), "first-pages").count()
+    go()
+    staged(pg.write_pages(rows.where(F.col("seq") > half), folder, first=n_pages), "more-pages")
+    go()
+    batch = spark.read.format("listing_pages").option("path", folder).load().where(wanted).select(columns)
+    return _union([df.select(F.lit(name).alias("read_as"), *columns) for name, df in (("batch", batch), ("stream", spark.read.schema(batch.schema).parquet(out)))])
