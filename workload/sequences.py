@@ -9,7 +9,7 @@ from postsift.operators import counts, enrichment as en, search_index as si, ter
 from postsift.plans.triage_run import EVERY, RunOptions, run
 from postsift.session import shared_dir, staged
 from postsift.sinks.daily_sheet import DailySheet
-from postsift.sinks import ledgers as cl
+from postsift.sinks import bucket_store as bs, ledgers as cl
 from postsift.sinks.key_index import KeyIndex
 from postsift.sinks.lead_store import LeadStore
 from postsift.sources import leads as ls, pages as pg, posts as ps
@@ -456,3 +456,24 @@ def paged_posts(spark, sf):
     go()
     batch = spark.read.format("listing_pages").option("path", folder).load().where(wanted).select(columns)
     return _union([df.select(F.lit(name).alias("read_as"), *columns) for name, df in (("batch", batch), ("stream", spark.read.schema(batch.schema).parquet(out)))])
+
+
+# --- leads in buckets -----------------------------------------------------------------------------
+
+@check(f"""WITH {LEADS}, {ck._REQUESTS},
+changes AS (SELECT post_id, arg_max(status, (asked_at, status)) AS new_status FROM requests WHERE status <> 'bogus' GROUP BY post_id)
+SELECT l.seq, l.post_id, coalesce(c.new_status, l.status) AS status FROM leads l LEFT JOIN changes c ON c.post_id = l.post_id""")
+def bucket_compaction(spark, sf):
+    """All leads in two batches and their status changes in two, folded in between, and read with one batch still open."""
+    store, rows = bs.BucketStore(spark, shared_dir(spark, "buckets"), 8), staged(tb.leads(spark, sf), "leads")
+    half = F.pmod("seq", F.lit(2))
+    store.append(rows.where(half == 0), 1)
+    store.fold()
+    store.append(rows.where(half == 1), 2)
+    requests = tb.status_requests(spark, sf)
+    for number in range(2):
+        some = requests.where(F.pmod(F.xxhash64("post_id", "at"), F.lit(2)) == number)
+        store.record(wq.status_changes(rows, some), 3 + number)
+        if number == 0:
+            store.fold()
+    return store.read().select("seq", "post_id", "status")
