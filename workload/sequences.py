@@ -217,19 +217,19 @@ def score_quarantine(spark, sf):
 
 def _indexed_store(spark, name) -> LeadStore:
     base = shared_dir(spark, name)
-    return LeadStore(spark, f"{base}/store", KeyIndex(spark, f"{base}/index", 64, 256))
+    return LeadStore(spark, f"{base}/store", KeyIndex(spark, f"{base}/index", 16, 1024))
 
 
 @check(f"WITH {LEADS}, {tb.stored_sql('quality')} SELECT seq, post_id FROM leads WHERE post_id NOT IN (SELECT post_id FROM stored)")
 def indexed_new_posts(spark, sf):
     """Leads whose post is not stored; the stored ids lie in an index, folded in two steps and merged."""
-    index = KeyIndex(spark, f"{shared_dir(spark, 'indexed-posts')}/index", 64, 256)
+    index = KeyIndex(spark, f"{shared_dir(spark, 'indexed-posts')}/index", 16, 1024)
     ids = staged(tb.labelled_ids(spark, sf, "quality"), "ids")
     half = F.pmod(F.xxhash64("post_id"), F.lit(2))
+    index.add(ids.where(half == 0), "r0")
+    index.fold()
     for number in range(2):
         index.add(ids.where(half == number), f"r{number}")
-        index.fold()
-    index.add(ids.where(half == 0), "r0")
     index.fold()
     index.merge()
     leads = staged(tb.leads(spark, sf).select("seq", "post_id"), "leads")
@@ -242,9 +242,10 @@ SELECT seq, post_id, 'r' || seq % 3 AS run_id FROM firsts""")
 def indexed_save_outcomes(spark, sf):
     """All leads in three runs into a store with an index; the second run is repeated after it was folded."""
     store, rows = _indexed_store(spark, "indexed-store"), staged(tb.leads(spark, sf), "leads")
-    for number in (0, 1, 1, 2):
+    for step, number in enumerate((0, 1, 1, 2)):
         store.append(rows.where(F.pmod("seq", F.lit(3)) == number), f"r{number}", 5)
-        store.index.fold()
+        if step == 1:
+            store.index.fold()
     return store.stored().select("seq", "post_id", "run_id")
 
 
