@@ -30,34 +30,60 @@ def unescape(text: Column) -> Column:
     return F.regexp_replace(text, "\\\\(\\\\?)", "$1")
 
 
-def paths(messages: DataFrame, per_tree: int = 1) -> DataFrame:
-    """The messages on each tree's ``per_tree`` best root-to-leaf paths.
+def _keyed(messages: DataFrame) -> DataFrame:
+    """Tree and node as structs, which a join compares also where the id inside is null."""
+    return messages.withColumns({
+        "tree": F.struct(F.col("tree").alias("id")), "node": F.struct(F.col("node").alias("id")),
+        "parent": F.when(F.col("parent").isNotNull(), F.struct(F.col("parent").alias("id"))),
+        "score": F.coalesce("score", F.lit(0.0)).cast("double")})
 
-    ``messages``: tree, node, parent (null for a root), score. A path scores the sum of its
-    messages; null scores count as 0. Ties go to the smaller leaf. Returns tree, leaf, path_rank, node,
-    depth (0 at the root). A message whose parent is missing is a root, and a tree with several
-    roots has the paths of all. Reach doubles each round, so a path of n messages takes log2(n)
-    rounds, of one narrow self-join each.
+
+def _once(keyed: DataFrame, *more: str) -> DataFrame:
+    """One row per message: of rows with the same tree and node the smallest by parent, score and ``more``, nulls first."""
+    kept = ("parent", "score", *more)
+    return keyed.groupBy("tree", "node").agg(F.min(F.struct(*kept)).alias("row")).select(
+        "tree", "node", *[F.col(f"row.{c}").alias(c) for c in kept])
+
+
+def _climb(nodes: DataFrame, largest: int):
+    """Sums from the root down, the jumps made on the way, and what turned out to be on a cycle.
+
+    The last is None, or the smallest message of each cycle: after more steps than a tree has messages
+    a message is still on its way only on or below a cycle, and the messages above it are those
+    of the cycle. One that is itself the smallest of them lies on it.
     """
-    nodes = staged(messages.select("tree", "node", "parent", F.coalesce("score", F.lit(0.0)).cast("double").alias("score")), "nodes")
     known = nodes.select("tree", F.col("node").alias("parent"), F.lit(True).alias("known"))
     step = nodes.join(known, ["tree", "parent"], "left").select(
         "tree", "node", F.when(F.col("known"), F.col("parent")).alias("up"), "score", F.lit(1).alias("steps"))
+    step = step.withColumn("least", F.col("up"))
     jumps = []
     while True:
         step = staged(step, "jumps")
         # Messages that have reached their root stand aside; only the others look further up.
         on_the_way = step.where("up is not null")
         if on_the_way.isEmpty():
-            break
+            return step, jumps, None
+        if 1 << len(jumps) >= largest:
+            return step, jumps, on_the_way.where("least = node").select("tree", "node")
         jumps.append(on_the_way)
         above = step.select(
-            "tree", F.col("node").alias("up"), F.col("up").alias("next"),
-            F.col("score").alias("more"), F.col("steps").alias("further"))
+            "tree", F.col("node").alias("up"), F.col("up").alias("next"), F.col("score").alias("more"),
+            F.col("steps").alias("further"), F.col("least").alias("least_above"))
         further = on_the_way.join(above, ["tree", "up"]).select(
             "tree", "node", F.col("next").alias("up"), (F.col("score") + F.col("more")).alias("score"),
-            (F.col("steps") + F.col("further")).alias("steps"))
+            (F.col("steps") + F.col("further")).alias("steps"), F.least("least", "least_above").alias("least"))
         step = further.union(step.where("up is null").select(further.columns))
+
+
+def _paths(nodes: DataFrame, per_tree: int) -> DataFrame:
+    """``paths`` over keyed messages, one row each."""
+    nodes = staged(nodes.select("tree", "node", "parent", "score"), "nodes")
+    largest = nodes.groupBy("tree").count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
+    step, jumps, cut = _climb(nodes, largest)
+    if cut is not None:
+        free = nodes.join(cut.withColumn("cut", F.lit(True)), ["tree", "node"], "left")
+        nodes = staged(free.select("tree", "node", F.when(F.col("cut").isNull(), F.col("parent")).alias("parent"), "score"), "nodes")
+        step, jumps, _ = _climb(nodes, largest)
     depth = step.select("tree", "node", (F.col("steps") - 1).alias("depth"), "score")
     parents = nodes.select("tree", F.col("parent").alias("node")).where("node is not null").distinct()
     leaves = depth.join(parents, ["tree", "node"], "left_anti")
@@ -71,6 +97,23 @@ def paths(messages: DataFrame, per_tree: int = 1) -> DataFrame:
     return chosen.join(depth.select("tree", "node", "depth"), ["tree", "node"])
 
 
+def paths(messages: DataFrame, per_tree: int = 1) -> DataFrame:
+    """The messages on each tree's ``per_tree`` best root-to-leaf paths.
+
+    ``messages``: tree, node, parent (null for a root), score. A path scores the sum of its
+    messages; null scores count as 0. Ties go to the smaller leaf. Returns tree, leaf, path_rank, node,
+    depth (0 at the root). A message whose parent is missing is a root, and a tree with several
+    roots has the paths of all. Reach doubles each round, so a path of n messages takes log2(n)
+    rounds, of one narrow self-join each.
+
+    A null tree is a tree, a null node a message that nobody replies to. A message given more than
+    once counts once, with its smallest parent and score (nulls first). Messages that reply to one another in a
+    circle, or to themselves, are cut above the smallest of the circle, which becomes a root.
+    """
+    return _paths(_once(_keyed(messages)), per_tree).select(
+        F.col("tree.id").alias("tree"), F.col("node.id").alias("node"), F.col("leaf.id").alias("leaf"), "path_rank", "depth")
+
+
 def formatted(turns: DataFrame) -> DataFrame:
     """One row per conversation: conv_id, formatted, loss_mask.
 
@@ -104,16 +147,18 @@ def parsed(chats: DataFrame) -> DataFrame:
         "loss_text": F.array_join(F.transform(under, unescape), "")})
 
 
-def chat(messages: DataFrame, per_tree: int = 1) -> DataFrame:
+def chat(messages: DataFrame, per_tree: int = 1, unique: bool = False) -> DataFrame:
     """Reply trees to formatted conversations: tree, leaf, path_rank, formatted, loss_mask.
 
     ``messages``: tree, node, parent, score, role, text. The result is keyed by the struct
-    conv_id (tree, leaf, path_rank).
+    conv_id (tree, leaf, path_rank). Repeated messages and circles are as in ``paths``; of rows of one message that
+    differ in role or text the smallest stands. ``unique``: the caller knows that there is one row per message.
     """
-    on = paths(messages, per_tree)
-    turns = on.join(messages.select("tree", "node", "role", "text"), ["tree", "node"])
-    return formatted(turns.select(
-        F.struct("tree", "leaf", "path_rank").alias("conv_id"), F.col("depth").alias("place"), "role", "text"))
+    keyed = _keyed(messages.select("tree", "node", "parent", "score", "role", "text"))
+    keyed = keyed if unique else staged(_once(keyed, "role", "text"), "messages")
+    turns = _paths(keyed, per_tree).join(keyed.select("tree", "node", "role", "text"), ["tree", "node"])
+    name = F.struct(F.col("tree.id").alias("tree"), F.col("leaf.id").alias("leaf"), "path_rank")
+    return formatted(turns.select(name.alias("conv_id"), F.col("depth").alias("place"), "role", "text"))
 
 
 def chains(turns: DataFrame) -> DataFrame:
@@ -131,7 +176,7 @@ def chains(turns: DataFrame) -> DataFrame:
 
 def digests(turns: DataFrame) -> DataFrame:
     """All of each conversation, formatted and read back: digests of turns and of trained text."""
-    back = parsed(chat(staged(chains(turns), "chains")))
+    back = parsed(chat(staged(chains(turns), "chains"), unique=True))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return back.select(
         F.col("conv_id.tree.conv_id").alias("conv_id"), F.size("turns").cast("long").alias("n_turns"),
