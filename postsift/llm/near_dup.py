@@ -1,5 +1,7 @@
 """SimHash near-duplicates: fingerprints, links found in BK-trees, connected groups."""
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -14,8 +16,9 @@ RADIUS = 3
 SHINGLE = 3
 # Fingerprints in one BK-tree. A larger shard is held by several trees, each met by all its queries.
 TREE_SIZE = 4096
-BANDS = RADIUS + 1
-BAND_BITS = 64 // BANDS
+# Starts of five runs of bits. Three differing bits leave at least two of the five runs untouched, so each pair of
+# runs is a table of its own, with keys of about 26 bits.
+RUNS = (0, 13, 26, 39, 52, 64)
 
 
 def fingerprint(text: str | None) -> int:
@@ -145,26 +148,33 @@ def _link(batches):
         held_shard, held = shard[open_], prints[open_]
 
 
+def _tables() -> list:
+    """The shard of ``print`` in the table of each two runs of bits."""
+    def run(i):
+        return f"(shiftrightunsigned(print, {RUNS[i]}) & {(1 << (RUNS[i + 1] - RUNS[i])) - 1}L)"
+
+    pairs = itertools.combinations(range(len(RUNS) - 1), 2)
+    return [F.expr(f"shiftleft({number}L, 26) | shiftleft({run(i)}, 13) | {run(j)}") for number, (i, j) in enumerate(pairs)]
+
+
 def links(prints: DataFrame, tree_size: int = TREE_SIZE) -> DataFrame:
     """Links (a, b) that connect all fingerprints within the radius of one another.
 
     ``prints``: distinct longs in ``print``. Two fingerprints that differ in three bits agree in
-    one of four 16-bit bands, so each band value is a shard with a BK-tree of its own. Shards
-    above ``tree_size`` are split by hash into several trees, and each of their fingerprints
-    is a query to the trees before its own. Within a tree's task only links that join two classes
-    are given, never all pairs.
+    two of five runs of bits, so each value of each two runs is a shard with a BK-tree of its own: ten
+    shards for a fingerprint, of some 2^26 in a table, so a shard of ten billion fingerprints holds
+    about 150. Shards above ``tree_size`` are split by hash into several trees, and each of their
+    fingerprints is a query to the trees before its own. Within a tree's task only links that join two
+    classes are given, never all pairs.
     """
-    band = F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1)))
-    keyed = prints.select("print", band.alias("band")).select(
-        "print", F.expr(f"(cast(band as long) << {BAND_BITS}) | "
-                        f"(shiftrightunsigned(print, cast(band * {BAND_BITS} as int)) & {(1 << BAND_BITS) - 1})").alias("key"))
+    keyed = prints.select("print", F.explode(F.array(*_tables())).alias("key"))
     large = (keyed.groupBy("key").count().where(F.col("count") > tree_size)
              .select("key", F.ceil(F.col("count") / tree_size).alias("trees")))
     own = F.pmod(F.xxhash64("print"), F.coalesce("trees", F.lit(1)))
     placed = keyed.join(large, "key", "left").withColumn("own", own)
     tiles = placed.select("print", "key", "own", F.explode(F.sequence(F.lit(0).cast("long"), "own")).alias("tile"))
     shards = tiles.select(
-        (F.col("key") + F.shiftleft("tile", 24)).alias("shard"),
+        (F.col("key") + F.shiftleft("tile", 32)).alias("shard"),
         F.when(F.col("tile") == F.col("own"), 0).otherwise(1).alias("member"), "print")
     dealt = shards.repartition("shard").sortWithinPartitions("shard", "member")
     return dealt.mapInArrow(_link, EDGE)
