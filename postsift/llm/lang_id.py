@@ -7,6 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from postsift.llm.sampling import STEPS as STEPS_OF_HASH
 from postsift.llm.text import blocks, flat
 
 # Labelled windows that are learnt from, of each language at most, and their length in bytes.
@@ -180,6 +181,8 @@ def held_out(doc_id: str = "doc_id", folds: int = 5, fold: int = 0) -> Column:
 def learn(docs: DataFrame, sample: int = SAMPLE) -> Network | None:
     """Train on at most ``sample`` windows of each language, from as many texts spread by hash; None without labels.
 
+    A language's texts are thinned by hash before they meet in one task, to about four times the sample.
+
     A window starts at a place in the text that its hash gives, every third at its start. Learning is bounded by ``sample``,
     the number of languages and nothing else; it takes seconds whatever the input.
     """
@@ -187,7 +190,13 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> Network | None:
     start = F.when(F.pmod(hashed, F.lit(3)) == 0, 1).otherwise(
         F.pmod(hashed, F.greatest(F.length("text") - STEPS, F.lit(1))) + 1)
     known = docs.where(F.col("lang").isNotNull() & F.col("text").rlike("\\p{L}") & ~held_out())
-    rows = known.select("lang", F.expr("text").substr(start.cast("int"), F.lit(STEPS)).alias("window"), hashed.alias("hash"))
+    place = F.pmod(hashed, F.lit(STEPS_OF_HASH))
+    # The share of a language's hashes that holds about four times its sample: the rest stays in its task. One row per
+    # language, which are as many as the network has outputs.
+    share = known.groupBy(F.col("lang").alias("known")).agg(
+        F.least(F.lit(STEPS_OF_HASH), F.floor(F.lit(4 * sample * STEPS_OF_HASH) / F.count("*")) + 1).alias("share"))
+    rows = known.select("lang", F.expr("text").substr(start.cast("int"), F.lit(STEPS)).alias("window"), place.alias("hash"))
+    rows = rows.join(F.broadcast(share), (F.col("lang") == F.col("known")) & (F.col("hash") < F.col("share"))).select("lang", "window", "hash")
     ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("hash", "window")))
     chosen = ranked.where(F.col("rank") <= sample).orderBy("lang", "rank").select("lang", "window").collect()
     if not chosen:
