@@ -35,6 +35,11 @@ def text_shingles(array):
     return shingle_hashes(word_hashes(data, starts, ends), rows, len(array))
 
 
+def in_order(text: str) -> bytes:
+    """The lowered words of a text with a space around each."""
+    return b" " + b" ".join(text.encode().lower().split()) + b" "
+
+
 def shingle_set(text: str) -> set:
     """The shingles themselves: five words, or all of them if there are fewer."""
     found = text.encode().lower().split()
@@ -46,20 +51,51 @@ def shingle_set(text: str) -> set:
 class ItemIndex:
     """Minimum hashes of items by size class, as sorted arrays, and the items' own shingles."""
 
-    def __init__(self, items: list):
-        """``items``: (item_id, text) with different shingle sets."""
+    def __init__(self, items: list, inside: bool = False):
+        """``items``: (item_id, text) with different shingle sets. ``inside``: see ``leaks``."""
         self.items = [(key, shingle_set(text)) for key, text in items]
+        texts = [text for (_, text), (_, shingles) in zip(items, self.items) if shingles]
         self.items = [x for x in self.items if x[1]]
-        hashes, bounds = text_shingles(pa.array([text for _, text in items if shingle_set(text)], pa.string()))
+        hashes, bounds = text_shingles(pa.array(texts, pa.string()))
         classes: dict[int, list] = {}
+        short: dict[int, list] = {}
+        # An item of fewer words than a shingle is its own length's only shingle where it is looked for inside texts.
+        self.whole = {}
         for i, (_, shingles) in enumerate(self.items):
-            classes.setdefault(len(shingles).bit_length() - 1, []).append(i)
+            own = in_order(texts[i])
+            if inside and own.count(b" ") - 1 < SHINGLE_WORDS:
+                self.whole[i] = own
+                short.setdefault(own.count(b" ") - 1, []).append(i)
+            else:
+                classes.setdefault(len(shingles).bit_length() - 1, []).append(i)
+        self.short = {}
+        for size, members in sorted(short.items()):
+            keys = hashes[bounds[members]]
+            order = np.argsort(keys)
+            self.short[size] = keys[order], np.array(members)[order]
         self.classes = {}
         for k, members in sorted(classes.items()):
             minima = np.array([[mix(hashes[bounds[i]: bounds[i + 1]] ^ s).min() for i in members] for s in _SALTS])
             order = np.argsort(minima, axis=1)
             self.classes[k] = (np.take_along_axis(minima, order, 1), np.array(members)[order])
 
+    def short_candidates(self, texts):
+        """(row, item) pairs of items below a shingle's length and rows that hold such a run of words."""
+        found = []
+        if self.short:
+            data, offsets = flat(texts)
+            data = lowered(data)
+            starts, ends, rows = words(data, offsets)
+            hashed = word_hashes(data, starts, ends)
+        for size, (keys, members) in self.short.items():
+            runs, bounds = shingle_hashes(hashed, rows, len(texts), size)
+            low = np.searchsorted(keys, runs, "left")
+            many = np.searchsorted(keys, runs, "right") - low
+            row = np.repeat(np.repeat(np.arange(len(texts)), np.diff(bounds)), many)
+            at = np.repeat(low, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            found.append(np.unique(np.stack([row, members[at]], 1), axis=0))
+        return np.concatenate(found) if found else np.empty((0, 2), np.int64)
+
     def candidates(self, hashes, bounds):
         """(row, item) pairs that share a minimum hash in some window."""
         if not len(hashes):
@@ -96,6 +132,9 @@ FOUND = "doc_id long, item_id long, n_shingles long, n_found long, containment d
 
 def _held(index: ItemIndex, texts, containment: float):
     """Yield (row, item_id, n_shingles, n_found) for every text that holds an item."""
+    for row, item in index.short_candidates(texts).tolist():
+        if index.whole[item] in in_order(texts[row].as_py()):
+            yield row, index.items[item][0], 1, 1
     last, held = None, set()
     for row, item in index.candidates(*text_shingles(texts)).tolist():
         if row != last:
@@ -106,8 +145,8 @@ def _held(index: ItemIndex, texts, containment: float):
             yield row, item_id, len(wanted), common
 
 
-def _block(docs: DataFrame, items: list, containment: float) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(ItemIndex(items))
+def _block(docs: DataFrame, items: list, containment: float, inside: bool) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(ItemIndex(items, inside))
 
     def search(batches):
         for whole in batches:
@@ -150,12 +189,13 @@ def _item_blocks(items: DataFrame, block_bytes: int):
 
 
 def leaks(docs: DataFrame, items: DataFrame, containment: float = CONTAINMENT,
-          block_bytes: int = ITEM_BLOCK_BYTES) -> DataFrame:
+          block_bytes: int = ITEM_BLOCK_BYTES, inside: bool = False) -> DataFrame:
     """Pairs (doc_id, item_id, n_shingles, n_found, containment) of documents that hold an item.
 
     Words are separated by ASCII white space, A-Z count as a-z. An item is held when at least
-    ``containment`` of its distinct five-word shingles are in the whole document; an item (or
-    document) of fewer words has one shingle of all its words. Items with the same words in the
+    ``containment`` of its distinct five-word shingles are in the whole document. An item of one to
+    four words is one shingle of all its words, held by a document of just these words; with
+    ``inside`` it is held wherever its words follow one another. Items with the same words in the
     same order are one, under the smallest item_id. Null and empty texts hold nothing and are
     held by nothing. Repeated document rows give repeated pairs; other columns are ignored.
 
@@ -163,7 +203,7 @@ def leaks(docs: DataFrame, items: DataFrame, containment: float = CONTAINMENT,
     benchmark is searched for in several passes over the documents.
     """
     docs = docs.select("doc_id", "text")
-    parts = [_block(docs, some, containment) for some in _item_blocks(items, block_bytes)]
+    parts = [_block(docs, some, containment, inside) for some in _item_blocks(items, block_bytes)]
     out = parts[0]
     for part in parts[1:]:
         out = out.union(part)

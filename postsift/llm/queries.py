@@ -30,7 +30,7 @@ def op3_html_text(spark, sf_dir):
 
 
 def op4_decontamination(spark, sf_dir):
-    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), inside=True)
 
 
 def op5_line_quality(spark, sf_dir):
