@@ -1,12 +1,14 @@
 """The daily sheet and the action tab as tables partitioned by day."""
 
+from urllib.parse import quote
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from postsift import schemas
 from postsift.operators import outcomes as oc
 from postsift.operators.projections import action_rows, sheet_rows
 from postsift.sinks.lead_store import RUN, count_row, counted, create_table, write_run
-from postsift.sources.leads import read_table, stored_ids
+from postsift.sources.leads import read_folders, read_table, stored_ids
 
 DAY = "sheet_date"
 
@@ -39,10 +41,11 @@ class DailySheet:
         return self._rows(self.action_path, schemas.ACTION_COLUMNS, as_of)
 
     def _rows(self, path, columns, as_of) -> DataFrame:
-        rows = read_table(self.spark, path, _table(columns))
         if as_of is None:
-            return rows
-        return rows.where(F.col(DAY) == sheet_name(self.base, as_of, self.auto_date))
+            return read_table(self.spark, path, _table(columns))
+        name = sheet_name(self.base, as_of, self.auto_date)
+        rows = read_folders(self.spark, path, f"{DAY}={quote(name, safe='')}", _table(columns))
+        return rows.where(F.col(DAY) == name)
 
     def append(self, leads: DataFrame, as_of, run_id: str, min_score=oc.SHEET_MIN_SCORE, gated=True) -> DataFrame:
         """Add leads to the day's sheet and the worthy ones to the action tab; counts as one row.
@@ -59,9 +62,13 @@ class DailySheet:
         return count_row(self.spark, seen)
 
     def _clear(self, run_id: str, name: str) -> None:
-        """Take back what an earlier attempt of this run wrote to another day's sheet."""
+        """Take back what an earlier attempt of this run wrote to another day's sheet.
+
+        Only the folders of this run are opened, one a day at most; the other runs' files aren't listed.
+        """
         for path, columns in ((self.sheet_path, schemas.SHEET_COLUMNS), (self.action_path, schemas.ACTION_COLUMNS)):
-            rows = read_table(self.spark, path, _table(columns)).where(F.col(RUN) == run_id)
+            own = f"{DAY}=*/{RUN}={quote(run_id, safe='')}"
+            rows = read_folders(self.spark, path, own, _table(columns)).where(F.col(RUN) == run_id)
             for day in rows.where(F.col(DAY) != name).select(DAY).distinct().collect():
                 write_run(rows.limit(0).drop(DAY, RUN), path, run_id, **{DAY: day[0]})
 

@@ -15,8 +15,20 @@ CSV_DIALECT = {
 
 def read_table(spark: SparkSession, path: str, schema=schemas.LEADS) -> DataFrame:
     """The Parquet table at ``path``, or an empty one with the same schema if there is none."""
+    return _read(spark, schema, path)
+
+
+def read_folders(spark: SparkSession, path: str, folders: str, schema) -> DataFrame:
+    """The partitions of the table at ``path`` that the pattern ``folders`` names; no others are listed.
+
+    Empty, with the same schema, if there are none.
+    """
+    return _read(spark, schema, f"{path}/{folders}", basePath=path)
+
+
+def _read(spark: SparkSession, schema, path: str, **options) -> DataFrame:
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).options(**options).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

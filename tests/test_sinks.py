@@ -118,3 +118,25 @@ def test_action_export(spark, tmp_path):
     assert path.endswith("leads_action_20240305")
     rows = spark.read.option("header", "true").option("multiLine", "true").option("escape", '"').csv(path)
     assert rows.columns == schemas.ACTION_EXPORT_COLUMNS and rows.count() == 3
+
+
+def test_a_sheet_append_opens_its_own_folders_only(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from postsift import schemas
+    from postsift.sinks.daily_sheet import DailySheet
+
+    sheet = DailySheet(spark, str(tmp_path))
+    values = {"post_url": "https://reddit.com/r/s/comments/{}/x/", "signal_score": 9, "comment_worthy": True, "public_draft": "d"}
+
+    def lead(n):
+        row = {name: values.get(name) for name in schemas.LEADS.names} | {"seq": n, "post_id": f"p{n}"}
+        return spark.createDataFrame([row | {"post_url": values["post_url"].format(f"p{n}")}], schemas.LEADS)
+
+    odd = "run {1}*/a=b"
+    for n, (day, run_id) in enumerate([("2024-02-01 10:00:00", "other"), ("2024-02-01 11:00:00", odd), ("2024-02-02 09:00:00", odd)]):
+        assert sheet.append(lead(n), day, run_id).first()["saved"] == 1
+    assert sorted((r.sheet_date[-2:], r.run_id) for r in sheet.read().collect()) == [("01", "other"), ("02", odd)]
+    assert sorted((r.sheet_date[-2:], r.run_id) for r in sheet.read_actions().collect()) == [("01", "other"), ("02", odd)]
+    read = sheet.read("2024-02-01 10:00:00")
+    assert len(read.inputFiles()) >= 1 and all("2024-02-01" in f for f in read.inputFiles())
+    assert sheet.read("2030-01-01 00:00:00").where(F.col("run_id") == odd).collect() == []

@@ -603,13 +603,15 @@ _BATCH_ITEMS = f"""{_BATCHED}, items AS (
 @check(f"""{_BATCH_ITEMS},
 placed AS (SELECT b.seq, b.batch_no, i.score, i.post_id IS NOT NULL AS mentioned FROM batched b
   LEFT JOIN items i ON i.batch_no = b.batch_no AND i.post_id = b.post_id),
-{_RAW_ANSWERS}, {_JSON}
+{_RAW_ANSWERS}, {_JSON},
+latest AS (SELECT *, seq % (SELECT count(*) FROM documents) AS lead FROM parsed
+  QUALIFY row_number() OVER (PARTITION BY seq % (SELECT count(*) FROM documents) ORDER BY seq DESC) = 1)
 SELECT p.seq, CASE WHEN {_USABLE} THEN p.score ELSE a.signal_score END AS signal_score,
   CASE WHEN {_USABLE} THEN CASE WHEN mentioned THEN 'MEDIUM' END ELSE a.signal_type END AS signal_type,
   CASE WHEN {_USABLE} THEN CASE WHEN mentioned THEN 'General Learning' END ELSE a.category END AS category
-FROM placed p LEFT JOIN parsed a ON a.seq = p.seq""")
+FROM placed p LEFT JOIN latest a ON a.lead = p.seq""")
 def apply_batch_scores(spark, sf):
-    singles = tb.score_answers(spark, sf).select("seq", "raw")
+    singles = tb.addressed(spark, sf, tb.score_answers(spark, sf))
     rows = en.apply_batch_scores(tb.leads(spark, sf), tb.batch_answers(spark, sf), singles)
     return rows.select("seq", "signal_score", "signal_type", "category")
 
@@ -626,11 +628,13 @@ def retry_requests(spark, sf):
     return rows.select("request_id", "prompt")
 
 
-_WORTHY = f"""WITH {LEADS}, judged AS (SELECT l.*, CASE seq % 8 WHEN 0 THEN true WHEN 1 THEN false WHEN 3 THEN true WHEN 4 THEN true
-    WHEN 5 THEN true WHEN 7 THEN true END AS worthy,
-  CASE seq % 8 WHEN 0 THEN 'asks for help' WHEN 1 THEN 'only venting' WHEN 2 THEN 'No reason provided' WHEN 3 THEN 'No reason provided'
+# How the latest answer to a lead looks: each event answers for the document that its id leaves as a remainder.
+_ANSWERED = "answered AS (SELECT event_id % (SELECT count(*) FROM documents) AS seq, max(event_id) % 8 AS shape FROM events GROUP BY 1)"
+_WORTHY = f"""WITH {LEADS}, {_ANSWERED}, judged AS (SELECT l.*, CASE coalesce(shape, 7) WHEN 0 THEN true WHEN 1 THEN false WHEN 3 THEN true
+    WHEN 4 THEN true WHEN 5 THEN true WHEN 7 THEN true END AS worthy,
+  CASE coalesce(shape, 7) WHEN 0 THEN 'asks for help' WHEN 1 THEN 'only venting' WHEN 2 THEN 'No reason provided' WHEN 3 THEN 'No reason provided'
     WHEN 4 THEN 'Parse error - defaulting to worthy' WHEN 5 THEN 'Error - defaulting to worthy'
-    WHEN 7 THEN 'Evaluation failed - defaulting to worthy' END AS reason FROM leads l)"""
+    WHEN 7 THEN 'Evaluation failed - defaulting to worthy' END AS reason FROM leads l LEFT JOIN answered USING (seq))"""
 
 
 def _judged(spark, sf):
@@ -674,17 +678,18 @@ def variant_split(spark, sf):
 
 # --- whole runs and streams ---------------------------------------------------------------------
 
-@check(f"""{_RUBRIC}, gated AS (SELECT *, points >= 8 AS pass, row_number() OVER (PARTITION BY id, points >= 8 ORDER BY seq) AS nth FROM scored),
+@check(f"""{_RUBRIC}, {_ANSWERED}, shaped AS (SELECT s.*, coalesce(shape, 7) AS shape FROM scored s LEFT JOIN answered USING (seq)),
+gated AS (SELECT *, points >= 8 AS pass, row_number() OVER (PARTITION BY id, points >= 8 ORDER BY seq) AS nth FROM scored),
 walked AS (SELECT *, coalesce(bool_or(pass) OVER (PARTITION BY id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS before FROM gated),
 tot AS (SELECT {_FUNNEL} FROM classified)
 SELECT total AS posts_fetched, passed, no_trigger, excluded, deleted_author,
   (SELECT count(*) FROM scored) AS leads_found, (SELECT count(*) FROM scored WHERE points >= 8) AS high_signal_leads,
-  (SELECT count(*) FROM scored WHERE points >= 8 AND seq % 8 = 1) AS skipped_unworthy,
-  (SELECT count(*) FROM scored WHERE points >= 8 AND seq % 8 <> 1) AS comment_worthy_leads,
+  (SELECT count(*) FROM shaped WHERE points >= 8 AND shape = 1) AS skipped_unworthy,
+  (SELECT count(*) FROM shaped WHERE points >= 8 AND shape <> 1) AS comment_worthy_leads,
   (SELECT count(*) FROM walked WHERE pass AND NOT before) AS leads_saved,
   (SELECT count(*) FROM walked WHERE before) AS leads_skipped,
   (SELECT count(*) FROM walked WHERE NOT pass AND NOT before) AS leads_filtered,
-  (SELECT count(DISTINCT id) FROM scored WHERE points >= 8 AND seq % 8 NOT IN (1, 2, 6)) AS sheet_saved FROM tot""")
+  (SELECT count(DISTINCT id) FROM shaped WHERE points >= 8 AND shape NOT IN (1, 2, 6)) AS sheet_saved FROM tot""")
 def run_summary(spark, sf):
     """A whole run over all posts into fresh sinks, with the rubric, joined answers and drafts."""
     base = shared_dir(spark, "run-summary")

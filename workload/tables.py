@@ -18,6 +18,8 @@ AS_OF = "2024-02-01 00:00:00"
 
 STATUS_BY_REMAINDER = ["new", "contacted", "replied", "converted", "ignored", ""]
 
+MORE_TRIGGERS = ["plateau", "stuck", "shy", "app", "tutor", "level", "speak"]
+
 # Words that do occur in the driver's invented prose, in the shape of a dictionary.
 TABLE_TRIGGERS = {
     "anxiety": ["thble", "tion and"],
@@ -121,7 +123,8 @@ def leads(spark, sf) -> DataFrame:
     score = F.when(F.col("event_type") != "error", k % 11)
     statuses = F.array(*[F.lit(s) for s in STATUS_BY_REMAINDER])
     return post_to_lead(posts(spark, sf).withColumns({
-        "matched_triggers": F.array("event_type", "lang"),
+        # From no trigger to nine, so that the prefixes of three and five do cut.
+        "matched_triggers": F.slice(F.array("event_type", "lang", *map(F.lit, MORE_TRIGGERS)), 1, F.coalesce(k % 10, F.lit(0))),
         "language_detected": F.when(F.col("lang") == "es", "").when(F.col("lang") != "de", F.col("lang")),
         "signal_score": score,
         "signal_type": band(score),
@@ -165,7 +168,15 @@ def score_answers(spark, sf) -> DataFrame:
     return events(spark, sf).select(F.col("event_id").alias("seq"), "k", raw.alias("raw"))
 
 
+def addressed(spark, sf, answers: DataFrame) -> DataFrame:
+    """Answers (seq, raw) of all events, sent to a document each; ``arrived`` tells which came last."""
+    n = table(spark, sf, "documents").count()
+    return answers.select((F.col("seq") % n).alias("seq"), F.col("seq").alias("arrived"), "raw")
+
+
 def worthy_answers(spark, sf) -> DataFrame:
+    """Raw answers of every event, each about the document that its id leaves as a remainder: a lead
+    has several, of which the one of the latest event counts."""
     shape = F.col("event_id") % 8
     raw = (
         F.when(shape == 0, '{"worthy":true,"reason":"asks for help"}')
@@ -176,7 +187,7 @@ def worthy_answers(spark, sf) -> DataFrame:
         .when(shape == 5, "[1]")
         .when(shape == 6, 'well {"worthy":0,"reason":null} ok')
     )
-    return events(spark, sf).select(F.col("event_id").alias("seq"), raw.alias("raw"))
+    return addressed(spark, sf, events(spark, sf).select(F.col("event_id").alias("seq"), raw.alias("raw")))
 
 
 def batch_answers(spark, sf) -> DataFrame:
@@ -248,7 +259,7 @@ numbered_posts AS (SELECT *, CASE WHEN event_type <> 'error' THEN num_comments %
 leads AS (
   SELECT seq, id AS post_id, subreddit, author, title, selftext AS body, 'https://reddit.com' || permalink AS post_url,
     'https://reddit.com/message/compose/?to=' || author AS message_url, created_utc,
-    [event_type, lang] AS matched_triggers,
+    list_concat([event_type, lang], %TRIGGERS%)[1:coalesce(k % 10, 0)] AS matched_triggers,
     CASE WHEN lang = 'es' THEN '' WHEN lang <> 'de' THEN lang END AS language_detected,
     score, num_comments, sc AS signal_score, """ + BAND.format("sc") + """ AS signal_type,
     CASE k % 4 WHEN 1 THEN '' WHEN 2 THEN 'Practice Gap' WHEN 3 THEN 'App Fatigue' END AS category,
@@ -260,7 +271,7 @@ leads AS (
     CASE WHEN k % 3 = 0 THEN k % 5 = 3 END AS mention_allowed,
     """ + "(%STATUSES%)[k % 6 + 1]" + """ AS status, k % 7 = 0 AS sent,
     CASE WHEN k % 7 = 0 THEN '2024-01-31 10:00' END AS sent_date
-  FROM numbered_posts)""").replace("%STATUSES%", sql_list(STATUS_BY_REMAINDER))
+  FROM numbered_posts)""").replace("%STATUSES%", sql_list(STATUS_BY_REMAINDER)).replace("%TRIGGERS%", sql_list(MORE_TRIGGERS))
 
 PENDING = "coalesce(comment_worthy, false) AND regexp_matches(coalesce(public_draft, ''), '\\S') AND NOT coalesce(sent, false)"
 
