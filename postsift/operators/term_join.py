@@ -6,6 +6,8 @@ rarest in a sample of the posts, and a text meets only the terms under q-grams i
 meets is checked with ``contains``, so neither the sample nor the choice of q-gram changes a result.
 """
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from postsift.functions import text as tx
@@ -16,37 +18,52 @@ Q = 4
 SAMPLE = 20_000
 
 
-def grams(text: Column, size: int) -> Column:
-    """The distinct runs of ``size`` characters of a text; none if it is shorter."""
-    def runs(characters):
-        def joined(_, at):
-            return F.concat(*[F.get(characters, at + k) for k in range(size)])
+def _keys(text: bytes, size: int) -> np.ndarray:
+    """The distinct runs of ``size`` bytes as numbers, in order; up to seven bytes no two runs have the same."""
+    held, n = np.frombuffer(text, np.uint8), max(0, len(text) - size + 1)
+    keys = np.full(n, size, np.uint64)
+    for k in range(size):
+        keys *= np.uint64(257)
+        keys += held[k: k + n]
+    keys.sort()
+    return keys[np.concatenate((np.ones(min(n, 1), bool), keys[1:] != keys[:-1]))].view(np.int64)
 
-        whole = F.slice(characters, 1, F.greatest(F.size(characters) - size + 1, F.lit(0)))
-        return F.array_distinct(F.transform(whole, joined))
 
-    return tx.bind(F.filter(F.split(text, ""), lambda c: c != ""), runs)
+def grams(text: Column, sizes: list[int]) -> Column:
+    """The distinct q-grams of a text of all ``sizes``: runs of UTF-8 bytes as numbers, the empty run for size 0.
+
+    None are left out, and a run has the same number wherever it stands, so a text that holds a term has all the term's.
+    """
+    sizes = list(sizes)
+
+    @F.pandas_udf("array<bigint>")
+    def cut(texts: pd.Series) -> pd.Series:
+        held = (None if t is None else t.encode() for t in texts)
+        return pd.Series([None if t is None else np.unique(np.concatenate([_keys(t, size) for size in sizes])) for t in held], dtype=object)
+
+    return cut(text)
 
 
-def _held(posts: DataFrame, size: int) -> DataFrame:
-    """(seq, gram) of all q-grams of the lowered texts; the empty one of each text for size 0."""
-    if not size:
-        return posts.select("seq", F.lit("").alias("gram"))
-    return posts.select("seq", F.explode(grams(F.lower(tx.full_text()), size)).alias("gram"))
+def _held(posts: DataFrame, sizes: list[int]) -> DataFrame:
+    """(seq, gram) of all q-grams of the lowered texts."""
+    return posts.select("seq", F.explode(grams(F.lower(tx.full_text()), sizes)).alias("gram"))
 
 
 def signatures(terms: DataFrame, posts: DataFrame, q=Q, sample=SAMPLE) -> DataFrame:
-    """``terms(term, ...)`` with ``gram``: the rarest q-gram of the term, or the whole of a shorter one."""
+    """``terms(term, ...)`` with ``gram``, the rarest q-gram of the term or the whole of a shorter one, and its ``size``."""
     n = max(1, posts.count())
     share = min(1.0, sample / n)
     some = posts.where(F.pmod(F.xxhash64("seq"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    counts = _held(some, q).groupBy("gram").agg(F.count("*").alias("n"))
-    long = terms.where(F.char_length("term") >= q).select("term").distinct()
-    own = long.select("term", F.explode(grams(F.col("term"), q)).alias("gram"))
-    ranked = own.join(counts, "gram", "left").groupBy("term").agg(
+    counts = _held(some, [q]).groupBy("gram").agg(F.count("*").alias("n"))
+    named = terms.select("term").distinct().withColumn("size", F.least(F.octet_length("term"), F.lit(q)))
+    own = named.where(F.col("size") == q).select("term", F.explode(grams(F.col("term"), [q])).alias("gram"))
+    best = own.join(counts, "gram", "left").groupBy("term").agg(
         F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("best"))
-    short = terms.where(F.char_length("term") < q).select("term").distinct().select("term", F.col("term").alias("gram"))
-    return terms.join(ranked.select("term", "best.gram").unionByName(short), "term")
+    placed = best.select("term", "best.gram", F.lit(q).alias("size"))
+    for size in range(q):
+        placed = placed.unionByName(named.where(F.col("size") == size).select(
+            "term", F.get(grams(F.col("term"), [size]), F.lit(0)).alias("gram"), "size"))
+    return terms.join(placed, "term")
 
 
 def term_matches(posts: DataFrame, terms: DataFrame, q=Q, sample=SAMPLE) -> DataFrame:
@@ -59,11 +76,10 @@ def term_matches(posts: DataFrame, terms: DataFrame, q=Q, sample=SAMPLE) -> Data
     """
     terms = terms.where(F.col("term").isNotNull()).select("kind", "ord", "term")
     placed = staged(signatures(terms, posts, q, sample), "signatures")
-    sizes = [r.size for r in placed.select(F.char_length("gram").alias("size")).distinct().collect()]
-    wanted = placed.select("gram").distinct()
-    met = posts.select("seq", F.lit("").alias("gram")).limit(0)
-    for size in sorted(sizes):  # from 0 to ``q``
-        met = met.unionByName(_held(posts, size).join(wanted.where(F.char_length("gram") == size), "gram", "left_semi"))
+    sizes = sorted(r.size for r in placed.select("size").distinct().collect())  # from 0 to ``q``
+    # All sizes in one walk, so a text is read and cut up once.
+    met = _held(posts, sizes).join(placed.select("gram").distinct(), "gram", "left_semi") if sizes else posts.select(
+        "seq", F.lit(0).cast("long").alias("gram")).limit(0)
     near = met.join(placed, "gram").groupBy("seq").agg(F.collect_list(F.struct("kind", "ord", "term")).alias("near"))
     texts = posts.join(near, "seq").select("near", "seq", F.explode(F.array(F.lower(tx.full_text()))).alias("text"))
     found = texts.select("seq", F.explode(F.filter("near", lambda t: F.contains(F.col("text"), t["term"]))).alias("hit"))

@@ -48,3 +48,27 @@ def test_a_large_table_gives_what_the_automaton_gives(spark):
     joined = {r.seq: r.terms for r in term_matches(posts, terms).collect()}
     scanned = with_matches(posts, full_text(), {"trigger": listed}).select("seq", F.col("hits.trigger").alias("terms"))
     assert joined == {r.seq: r.terms for r in scanned.collect() if r.terms}
+
+
+def test_every_substring_has_its_grams_in_the_text():
+    from postsift.operators.term_join import _keys
+
+    text = "aé日b aé😀日b".lower()
+    for size in range(6):
+        held = set(_keys(text.encode(), size).tolist())
+        runs = [text.encode()[i: i + size] for i in range(len(text.encode()) - size + 1)]
+        assert len(held) == len(set(runs))
+        for low in range(len(text)):
+            for high in range(low, len(text) + 1):
+                assert set(_keys(text[low:high].encode(), size).tolist()) <= held
+    assert _keys(b"", 4).tolist() == [] and _keys(b"abc", 4).tolist() == [] and len(_keys(b"", 0)) == 1
+
+
+def test_texts_are_cut_once_for_all_sizes(spark):
+    """One walk cuts a text into the q-grams of every size."""
+    from postsift.operators import term_join as tj
+
+    posts = spark.createDataFrame([(1, "Ab", "c"), (2, None, "x"), (3, "", "")], POSTS)
+    held = tj._held(posts, [0, 2, 4])
+    assert held._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+    assert sorted((r.seq, r.n) for r in held.groupBy("seq").agg(F.count("*").alias("n")).collect()) == [(1, 1 + 3 + 1), (3, 1)]
