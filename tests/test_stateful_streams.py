@@ -75,6 +75,36 @@ def test_ids_are_forgotten_after_their_time(spark):
         query.stop()
 
 
+def test_many_posts_are_handled_in_a_bounded_number_of_calls(spark, monkeypatch):
+    """Python is called per shard, not per post: 3 posts of 4 come again in the second micro-batch."""
+    monkeypatch.setattr(rm, "SHARDS", 3)
+    feed = Feed(spark, LEADS, lambda s: rm.first_saved(s, 5, salts=2))
+    feed.put([(i, f"p{i % 400}", 5 if i % 8 else None, None) for i in range(800)])
+    feed.put([(2000 + i, f"p{i}", 7, "t") for i in range(400)])
+    want = {f"p{i}": i if i % 8 else 2000 + i for i in range(400)}
+    assert sorted(feed.run()) == sorted((n, p, 5 if n < 2000 else 7, None if n < 2000 else "t") for p, n in want.items())
+    from postsift.streaming.remembered import FirstSaved
+
+    class State:
+        def __init__(self):
+            self.held = {}
+
+        def containsKey(self, key):
+            return key in self.held
+
+        def updateValue(self, key, value):
+            self.held[key] = value
+
+    import pandas as pd
+
+    first = FirstSaved(["seq", "post_id"])
+    first.saved = State()
+    pieces = [pd.DataFrame({"seq": [9, 4, 7], "post_id": ["a", "b", None]}), pd.DataFrame({"seq": [3, 8], "post_id": ["a", None]})]
+    out = pd.concat(first.handleInputRows((0,), iter(pieces), None))
+    assert sorted(out["seq"]) == [3, 4, 7] and first.saved.held == {("a",): (3,), ("b",): (4,), (None,): (7,)}
+    assert list(first.handleInputRows((0,), iter(pieces), None)) == []
+
+
 def walk(requests, stale_days, newest, delay):
     """The same rules, one request after the other; requests come in order of time."""
     rows, held = [], {}
@@ -120,6 +150,21 @@ def test_a_request_older_than_the_last_applied_one_is_late(spark):
     assert sorted((r.seq, r.value) for r in lc.status_log(rows, ids).collect()) == [(1, "contacted"), (1, "replied"), (2, "contacted"), (2, "replied")]
 
 
+def test_silent_leads_of_one_shard_go_stale_each(spark, monkeypatch):
+    """Leads of one shard wait for the same moment; one moved on, one waits anew from that moment, one is noted by a request."""
+    monkeypatch.setattr(rm, "SHARDS", 1)
+    t, day = datetime(2024, 1, 1), timedelta(days=1)
+    feed = Feed(spark, "post_id string, status string, at timestamp", lambda s: lc.steps(s, "1 days", 2))
+    first = [(p, "contacted", t) for p in ("a", "b", "c", "d", None)]
+    second = [("b", "ignored", t + day), ("c", "replied", t + day), ("d", "bogus", t + 2 * day + timedelta(seconds=1)), ("e", "new", t + 2 * day)]
+    third = [("z", "new", t + 30 * day)]
+    for rows in (first, second, third):
+        feed.put(rows)
+    got, key = feed.run(), lambda r: tuple(str(v) for v in r)
+    assert sorted(got, key=key) == sorted(walk([*first, *second, *third], 2, t + 30 * day, day), key=key)
+    assert sorted((r[0] or "", r[3]) for r in got if r[4] == "stale") == [("", t + 2 * day), ("a", t + 2 * day), ("c", t + 3 * day), ("d", t + 2 * day)]
+
+
 @pytest.mark.parametrize("restart", [False, True])
 def test_missing_late_and_double_answers(spark, restart):
     rng, t0 = random.Random(7), datetime(2024, 1, 1)
