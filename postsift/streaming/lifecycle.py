@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from postsift.operators.work_queue import STATUSES
-from postsift.streaming.remembered import keep_state_on_disk
+from postsift.streaming.remembered import keep_state_on_disk, shard
 
 # Which status may follow which. A lead starts as new; what is converted stays so.
 FOLLOWS = {
@@ -24,50 +24,72 @@ STALE_DAYS = 14
 STEPS = "post_id string, before string, asked string, at timestamp, outcome string"
 
 
-def _step(post_id, before, asked, at_us, outcome):
-    return (post_id, before, asked, pd.Timestamp(at_us, unit="us"), outcome)
+def _frame(steps: list[tuple]) -> pd.DataFrame:
+    """Rows of ``STEPS`` from tuples with the moment in microseconds."""
+    rows = pd.DataFrame(steps, columns=["post_id", "before", "asked", "at", "outcome"])
+    return rows.assign(at=pd.to_datetime(rows["at"].astype("int64"), unit="us"))
 
 
 class Machine(StatefulProcessor):
-    """Status, since when, and whether silence was noted, per post."""
+    """Status, since when, and whether silence was noted, per post of a shard, and which posts may go stale when.
+
+    A timer names a moment, and ``due`` the posts that were to go stale then; one that has moved on
+    meanwhile is passed over, so no timer is looked for to be deleted.
+    """
 
     def __init__(self, follows, waiting, stale_us):
         self.follows, self.waiting, self.stale_us = follows, waiting, stale_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.held = handle.getValueState("held", "status string, since long, stale boolean")
+        self.held = handle.getMapState("held", "post_id string", "status string, since long, stale boolean")
+        self.due = handle.getMapState("due", "at_ms long", "posts array<string>")
+
+    def _due_ms(self, since):
+        return (since + self.stale_us) // 1000 + 1
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        asked = pd.concat([r[["status", "at"]] for r in rows])
-        asked["at"] = asked["at"].astype("datetime64[us]").astype("int64")
-        status, since, stale = self.held.get() if self.held.exists() else ("new", None, False)
-        steps, start = [], (status, since)
-        for wanted, at in sorted(zip(asked["status"].map(lambda s: s if isinstance(s, str) else ""), asked["at"]), key=lambda r: (r[1], r[0])):
-            if since is not None and at < since:
-                steps.append(_step(key[0], status, wanted, at, "late"))
-                continue
-            if status in self.waiting and not stale and at > since + self.stale_us:
-                steps.append(_step(key[0], status, None, since + self.stale_us, "stale"))
-                stale = True
-            good = wanted in self.follows[status]
-            steps.append(_step(key[0], status, wanted, at, "applied" if good else "refused"))
-            if good:
-                status, since, stale = wanted, at, False
-        self.held.update((status, since, stale))
-        if (status, since) != start:
-            for timer in list(self.handle.listTimers()):
-                self.handle.deleteTimer(timer)
-            if status in self.waiting:
-                self.handle.registerTimer((since + self.stale_us) // 1000 + 1)
-        yield pd.DataFrame(steps, columns=["post_id", "before", "asked", "at", "outcome"])
+        asked = pd.concat([r[["post_id", "status", "at"]] for r in rows])
+        moments = asked["at"].astype("datetime64[us]").astype("int64")
+        requests: dict[str | None, list] = {}
+        for post, wanted, at in zip(asked["post_id"], asked["status"], moments):
+            requests.setdefault(post if isinstance(post, str) else None, []).append((at, wanted if isinstance(wanted, str) else ""))
+        steps, due = [], {}
+        for post, wishes in requests.items():
+            held = self.held.getValue((post,)) if self.held.containsKey((post,)) else ("new", None, False)
+            status, since, stale = held
+            for at, wanted in sorted(wishes):
+                if since is not None and at < since:
+                    steps.append((post, status, wanted, at, "late"))
+                    continue
+                if status in self.waiting and not stale and at > since + self.stale_us:
+                    steps.append((post, status, None, since + self.stale_us, "stale"))
+                    stale = True
+                good = wanted in self.follows[status]
+                steps.append((post, status, wanted, at, "applied" if good else "refused"))
+                if good:
+                    status, since, stale = wanted, at, False
+            if (status, since, stale) != tuple(held):
+                self.held.updateValue((post,), (status, since, stale))
+            if (status, since) != tuple(held)[:2] and status in self.waiting:
+                due.setdefault(self._due_ms(since), []).append(post)
+        for at_ms, posts in due.items():
+            before = list(self.due.getValue((at_ms,))[0]) if self.due.containsKey((at_ms,)) else []
+            self.due.updateValue((at_ms,), (before + [post for post in posts if post not in before],))
+            self.handle.registerTimer(at_ms)
+        yield _frame(steps)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        status, since, stale = self.held.get()
-        if status in self.waiting and not stale:
-            self.held.update((status, since, True))
-            yield pd.DataFrame([_step(key[0], status, None, since + self.stale_us, "stale")],
-                               columns=["post_id", "before", "asked", "at", "outcome"])
+        at_ms = expiredTimerInfo.getExpiryTimeInMs()
+        steps = []
+        for post in self.due.getValue((at_ms,))[0] if self.due.containsKey((at_ms,)) else []:
+            status, since, stale = self.held.getValue((post,))
+            if status in self.waiting and not stale and self._due_ms(since) == at_ms:
+                self.held.updateValue((post,), (status, since, True))
+                steps.append((post, status, None, since + self.stale_us, "stale"))
+        self.due.removeKey((at_ms,))
+        if steps:
+            yield _frame(steps)
 
     def close(self) -> None:
         pass
@@ -86,7 +108,7 @@ def steps(requests: DataFrame, watermark="7 days", stale_days=STALE_DAYS, follow
     keep_state_on_disk(requests.sparkSession)
     timed = requests.select("post_id", "status", "at").where(F.col("at").isNotNull()).withWatermark("at", watermark)
     machine = Machine(follows, waiting, stale_days * 86_400_000_000)
-    return timed.groupBy("post_id").transformWithStateInPandas(machine, STEPS, "Append", "EventTime")
+    return timed.withColumn("_shard", shard("post_id")).groupBy("_shard").transformWithStateInPandas(machine, STEPS, "Append", "EventTime")
 
 
 def applied(rows: DataFrame) -> DataFrame:
