@@ -10,6 +10,11 @@ rows. What a block can score at most follows from its largest count and its shor
 blocks that can score highest are opened first, and the others only if they can still reach the top.
 """
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from postsift.functions import text as tx
@@ -19,14 +24,20 @@ from postsift.sources.leads import read_table
 K1, B = 1.2, 0.75
 BLOCK = 1 << 16
 BUCKETS = 256
+# Files that the rows of a bucket are dealt over.
+LANES = 16
 # Blocks opened before the others are judged.
 FIRST_BLOCKS = 8
 # A term is a run of letters and digits, lowered.
 TERM = r"[\p{L}\p{N}]+"
 
-_POST = "struct<seq: bigint, n: int, length: int, places: array<int>>"
+_POST = "struct<seq: bigint, length: int, n: int, places: array<int>>"
 _POSTINGS = f"term string, block long, posts array<{_POST}>, n_posts long, most int, shortest int, bucket int"
 _STATS = "n_posts long, n_words long"
+# What goes through the shuffle: the posts of one batch under a term and block.
+_PACKED = f"term string, block long, posts array<{_POST}>"
+# Words that a task turns round at once.
+_WORDS_AT_ONCE = 2_000_000
 
 
 def terms(text: Column) -> Column:
@@ -38,6 +49,72 @@ def weight(n: Column, length: Column, average: float) -> Column:
     return n * (K1 + 1) / (n + K1 * (1 - B + B * length / average))
 
 
+def _turned(seqs: np.ndarray, known: np.ndarray, words: pa.ListArray, size: int) -> pa.RecordBatch:
+    """Rows of ``_PACKED`` for some posts (``known``: the seq isn't null): one per term and block."""
+    lengths = np.diff(words.offsets.to_numpy()).astype(np.int64)
+    blocks = np.floor_divide(seqs, size)
+    order = np.lexsort((lengths, seqs, known))
+    rank = np.empty_like(order)
+    rank[order] = np.arange(len(order))
+    coded = words.flatten().dictionary_encode()
+    post = np.repeat(np.arange(len(seqs)), lengths)
+    place = np.arange(len(post)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    code = coded.indices.to_numpy().astype(np.int64)
+    by = np.argsort(code * len(seqs) + rank[post], kind="stable")
+    code, post, place = code[by], post[by], place[by]
+    changes = np.flatnonzero((np.diff(code) != 0) | (np.diff(post) != 0)) + 1
+    first = np.concatenate(([0], changes))  # of each post under each term
+    inner, n = np.append(first, len(place)), np.diff(first, append=len(place))
+    code, post = code[first], post[first]
+    at, sure = blocks[post], known[post]
+    outer = np.concatenate(([0], np.flatnonzero((np.diff(code) != 0) | (np.diff(at) != 0) | (np.diff(sure) != 0)) + 1))
+    posts = pa.StructArray.from_arrays([
+        pa.array(seqs[post], pa.int64(), mask=~sure), pa.array(lengths[post], pa.int32()), pa.array(n, pa.int32()),
+        pa.ListArray.from_arrays(pa.array(inner, pa.int32()), pa.array(place, pa.int32()))], ["seq", "length", "n", "places"])
+    return pa.RecordBatch.from_arrays([
+        coded.dictionary.take(pa.array(code[outer])), pa.array(at[outer], pa.int64(), mask=~sure[outer]),
+        pa.ListArray.from_arrays(pa.array(np.append(outer, len(first)), pa.int32()), posts)], ["term", "block", "posts"])
+
+
+def _inverted(size: int):
+    """Arrow batches of (seq, words) as batches of ``_PACKED``, worked out in pieces of a bounded number of words."""
+    def turn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.filter(pc.greater(pc.list_value_length(batch.column("words")), 0))
+            lengths = pc.list_value_length(batch.column("words")).to_numpy(zero_copy_only=False)
+            piece = np.cumsum(lengths, dtype=np.int64) // _WORDS_AT_ONCE
+            edges = [*np.flatnonzero(np.diff(piece, prepend=-1)), len(lengths)]
+            for low, high in zip(edges, edges[1:]):
+                seq, words = (batch.column(name).slice(low, high - low) for name in ("seq", "words"))
+                words = pa.ListArray.from_arrays(
+                    np.concatenate(([0], np.cumsum(lengths[low:high]))).astype(np.int32), words.flatten())
+                yield _turned(seq.fill_null(0).to_numpy().astype(np.int64), seq.is_valid().to_numpy(zero_copy_only=False), words, size)
+
+    return turn
+
+
+def _whole(posts: Column) -> Column:
+    """The collected posts of a term and block in order; a post that was given twice is one."""
+    def differs(p, q):
+        return ~(p["seq"].eqNullSafe(q["seq"]) & (p["length"] == q["length"]))
+
+    def as_one(run):
+        places = F.sort_array(F.flatten(F.transform(run, lambda p: p["places"])))
+        p = F.get(run, F.lit(0))
+        return F.struct(p["seq"].alias("seq"), p["length"].alias("length"), F.size(places).alias("n"), places.alias("places"))
+
+    def merged(held):
+        starts = F.filter(F.sequence(F.lit(0), F.size(held) - 1), lambda i: (i == 0) | differs(F.get(held, i), F.get(held, i - 1)))
+        return tx.bind(starts, lambda at: F.transform(at, lambda low, k: tx.bind(
+            F.slice(held, low + 1, F.coalesce(F.get(at, k + 1), F.size(held)) - low), as_one)))
+
+    def once(held):
+        alone = F.size(F.array_distinct(F.transform(held, lambda p: p["seq"]))) == F.size(held)
+        return F.when(alone, held).otherwise(merged(held))
+
+    return tx.bind(F.sort_array(posts), once)
+
+
 def _moved(places: Column, by: int) -> Column:
     return F.transform(places, lambda place: place - by)
 
@@ -54,23 +131,30 @@ class SearchIndex:
 
     def add(self, posts: DataFrame, part: str) -> None:
         """Index ``posts(seq, title, selftext)``; seqs are unique over all parts."""
-        words = terms(tx.full_text())
-        held = posts.select("seq", F.explode(F.array(words)).alias("words")).select(
-            "seq", "words", F.size("words").alias("length"))
-        held.agg(F.count("*").alias("n_posts"), F.coalesce(F.sum("length"), F.lit(0)).cast("long").alias("n_words")).write.mode(
-            "overwrite").parquet(f"{self.stats_path}/part={part}")
-        found = held.select("seq", "length", F.posexplode("words").alias("place", "term"))
-        one = found.groupBy("term", "seq", "length").agg(F.sort_array(F.collect_list("place")).alias("places"))
-        post = F.struct("seq", F.size("places").alias("n"), "length", "places")
-        block = F.floor(F.col("seq") / F.lit(self.block)).cast("long")
-        rows = one.select("term", block.alias("block"), post.alias("post")).groupBy("term", "block").agg(
-            F.sort_array(F.collect_list("post")).alias("posts"))
-        rows = rows.select(
-            "term", "block", "posts", F.size("posts").cast("long").alias("n_posts"), F.array_max("posts.n").alias("most"),
-            F.array_min("posts.length").alias("shortest"), self._bucket(F.col("term")).alias("bucket"))
+        path = f"{self.postings_path}/part={part}"
+        self.rows(posts).sortWithinPartitions("bucket", "term", "block").write.mode("overwrite").partitionBy("bucket").parquet(path)
+        # Every word is in the index once, so their number is read there; posts without words count too.
+        said = read_table(self.spark, path, _POSTINGS).select(F.aggregate("posts.n", F.lit(0).cast("long"), lambda s, n: s + n).alias("n"))
+        n_words = said.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        self.spark.createDataFrame([(posts.count(), n_words)], _STATS).coalesce(1).write.mode("overwrite").parquet(
+            f"{self.stats_path}/part={part}")
+
+    def rows(self, posts: DataFrame) -> DataFrame:
+        """The index of ``posts`` as rows: one per term and block, dealt by bucket and block.
+
+        Posts are turned round where they lie, so one packed row per term and block of a batch is
+        all that is shuffled, and that once.
+        """
+        words = posts.select("seq", terms(tx.full_text()).alias("words"))
+        packed = words.mapInArrow(_inverted(self.block), _PACKED).select(
+            "*", self._bucket(F.col("term")).alias("bucket"), F.pmod("block", F.lit(LANES)).alias("lane"))
         # A bucket's rows are dealt over several files by block, so a common term doesn't make one long task.
-        rows.repartition("bucket", F.pmod("block", F.lit(16))).sortWithinPartitions("bucket", "term", "block").write.mode(
-            "overwrite").partitionBy("bucket").parquet(f"{self.postings_path}/part={part}")
+        rows = packed.repartition("bucket", "lane").groupBy("bucket", "lane", "term", "block").agg(
+            F.flatten(F.collect_list("posts")).alias("posts"))
+        rows = rows.select("bucket", "term", "block", F.explode(F.array(_whole(F.col("posts")))).alias("posts"))
+        return rows.select(
+            "term", "block", "posts", F.size("posts").cast("long").alias("n_posts"), F.array_max("posts.n").alias("most"),
+            F.array_min("posts.length").alias("shortest"), "bucket")
 
     def postings(self, wanted: list[str]) -> DataFrame:
         """The rows of these terms; partitions and row groups of other terms are not read."""

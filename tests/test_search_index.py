@@ -5,6 +5,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from postsift.operators.search_index import SearchIndex
 from postsift.session import shared_dir
@@ -66,3 +67,30 @@ def test_an_empty_index(spark):
     assert index.search("the", 3).collect() == []
     index.add(spark.createDataFrame([], POSTS), "none")
     assert index.search("the", 3).collect() == [] and index.stats() == (0, 1.0)
+
+
+def test_posts_are_shuffled_once_and_packed(spark):
+    """The rows of the index come from one exchange, whatever the posts come from."""
+    index = SearchIndex(spark, shared_dir(spark, "search"), buckets=4, block=64)
+    rows = index.rows(spark.createDataFrame([(-70, "a b", "a"), (5, "b", "b c"), (6, None, "a")], POSTS))
+    plan = rows._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Exchange") == 1 and "ObjectHashAggregate" in plan.split("Exchange")[0]
+    got = {(r.term, r.block): [(p.seq, p.n, p.length, p.places) for p in r.posts] for r in rows.collect()}
+    assert got == {("a", -2): [(-70, 2, 3, [0, 2])], ("b", -2): [(-70, 1, 3, [1])], ("b", 0): [(5, 2, 3, [0, 1])], ("c", 0): [(5, 1, 3, [2])]}
+
+
+@pytest.mark.parametrize("words_at_once", [1, 7, 2_000_000])
+def test_pieces_and_repeated_posts(spark, monkeypatch, words_at_once):
+    """Posts of one batch in pieces of any size; one that comes twice is one post with all its words."""
+    import pyarrow as pa
+
+    from postsift.operators import search_index as si
+
+    monkeypatch.setattr(si, "_WORDS_AT_ONCE", words_at_once)
+    texts = [(3, ["x", "y", "x"]), (9, []), (None, ["y"]), (130, ["x"]), (3, ["x", "y", "x"]), (4, None)]
+    batch = pa.RecordBatch.from_arrays([pa.array([t[0] for t in texts], pa.int64()), pa.array([t[1] for t in texts], pa.list_(pa.string()))], ["seq", "words"])
+    packed = [tuple(r.values()) for b in si._inverted(64)(iter([batch])) for r in b.to_pylist()]
+    rows = spark.createDataFrame(packed, si._PACKED).groupBy("term", "block").agg(F.flatten(F.collect_list("posts")).alias("p"))
+    got = {(r.term, r.block): [(p.seq, p.n, p.length, p.places) for p in r.posts]
+           for r in rows.select("term", "block", si._whole(F.col("p")).alias("posts")).collect()}
+    assert got == {("x", 0): [(3, 4, 3, [0, 0, 2, 2])], ("y", 0): [(3, 2, 3, [1, 1])], ("x", 2): [(130, 1, 1, [0])], ("y", None): [(None, 1, 1, [0])]}
